@@ -1,24 +1,19 @@
-"""Query key -> (Spark callable, DuckDB oracle SQL or None)."""
+"""Query key -> (Spark callable, DuckDB oracle SQL or None).
+
+Keys without SQL (model training, cross-validation, scoring with a fitted
+model, model files, the stream, scaler statistics) get the driver's rows-only
+check; their behaviour is covered by the tests instead.
+"""
 
 from __future__ import annotations
 
-from . import oracle as O
-from .queries import QUERIES, QueryFn
-
-ORACLE: dict[str, str] = {
-    "customer_base": O.q_customer_base("full"),
-    "customer_base_core": O.q_customer_base("core"),
-    "usage_metrics": O.q_usage("full"),
-    "usage_metrics_core": O.q_usage("core"),
-    "financial_metrics": O.q_financial("full"),
-    "financial_metrics_core": O.q_financial("core"),
-    "support_metrics": O.q_support("full"),
-    "support_metrics_core": O.q_support("core"),
-    "marketing_metrics": O.q_marketing("full"),
-    "marketing_metrics_core": O.q_marketing("core"),
-    "merged_features": O.q_merged(),
-    "high_risk_report": O.q_high_risk_report(),
-}
+from . import analytics, primitives
+from .queries import ORACLE as COMPOSITE_ORACLE
+from .queries import QUERIES as COMPOSITE
+from .queries import QueryFn
+
+QUERIES: dict[str, QueryFn] = {**COMPOSITE, **primitives.QUERIES, **analytics.QUERIES}
+ORACLE: dict[str, str] = {**COMPOSITE_ORACLE, **primitives.ORACLE, **analytics.ORACLE}
 
 
 def queries() -> dict[str, QueryFn]:

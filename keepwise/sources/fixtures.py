@@ -184,9 +184,9 @@ def marketing_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture_probability(order_key: Column) -> Column:
+def fixture_probability(key: Column, salt: str = ":p") -> Column:
     """Deterministic score in [0, 1] with four decimals, as a double."""
-    h = hash32(F.concat(order_key.cast("string"), F.lit(":p")))
+    h = hash32(F.concat(key.cast("string"), F.lit(salt)))
     return (h % PROBABILITY_MODULUS).cast("double") / F.lit(float(PROBABILITY_SCALE))
 
 
