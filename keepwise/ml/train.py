@@ -144,9 +144,10 @@ def feature_importance(model: PipelineModel, df: DataFrame, top_n: int | None =
     their source column), largest first. The vector has one entry per model
     input, so it is model-sized, not data-sized."""
     rf = model.stages[-1]
-    meta = model.transform(df.limit(0)).schema[FEATURES].metadata
-    if not meta:
-        meta = model.transform(df.limit(0)).schema[RAW].metadata
+    schema = model.transform(df.limit(0)).schema
+    meta = schema[FEATURES].metadata
+    if "attrs" not in meta.get("ml_attr", {}):
+        meta = schema[RAW].metadata  # the scaler keeps only the attribute count
     attrs = []
     for group in meta.get("ml_attr", {}).get("attrs", {}).values():
         attrs.extend(group)

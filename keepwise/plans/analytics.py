@@ -441,3 +441,13 @@ def stream_scoring(spark, d):
     q.awaitTermination()
     return TB.read_predictions(spark, out_dir).withColumn(
         "churn_probability", F.col("churn_probability").cast("double"))
+
+
+
+# Mean and standard deviation of doubles depend on summation order in the
+# last bits, so there is no exact-hash twin; SCALER_SQL is compared with a
+# relative tolerance in tests/test_ml.py instead.
+SCALER_COLUMNS = [c for c, _ in O.MERGED_NUMERIC_CORE if c != "churned"]
+SCALER_SQL = _SPLIT_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, AVG(CAST({c} AS DOUBLE)) AS mean, STDDEV_SAMP(CAST({c} AS DOUBLE)) AS std "
+    f"FROM split WHERE split = 'train'" for c in SCALER_COLUMNS)
