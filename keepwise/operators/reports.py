@@ -72,11 +72,14 @@ def extraction_summary(features: DataFrame, label: str = "churned") -> DataFrame
 def attach_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row.
 
-    Joined on a constant key so the plan is a broadcast hash join of exactly
-    one row (a global aggregate), not a cartesian product."""
-    return (df.withColumn("_kw_one", F.lit(1))
-            .join(F.broadcast(scalar.withColumn("_kw_one", F.lit(1))), "_kw_one")
-            .drop("_kw_one"))
+    The aggregate becomes one uncorrelated scalar subquery (a struct of its
+    columns): Spark runs it once and injects the value into the projection,
+    so there is no join at all, let alone a cartesian product."""
+    cols = scalar.columns
+    packed = scalar.select(F.struct(*[F.col(c) for c in cols]).alias("_kw_scalar")).scalar()
+    out = df.withColumn("_kw_scalar", packed)
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[F.col(f"_kw_scalar.{c}").alias(c) for c in cols])
 
 
 def feature_adoption_share(activity: DataFrame, as_of, months: int = C.USAGE_MONTHS) -> DataFrame:
