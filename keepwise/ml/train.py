@@ -71,10 +71,14 @@ def forest(params: C.ForestParams = C.ForestParams(), label: str = LABEL,
            weight_col: str | None = WEIGHT) -> RandomForestClassifier:
     """M5: the reference's forest. ``min_samples_split=20`` needs no own
     setting: two children of at least 10 rows imply a parent of 20."""
+    # Node ids are cached and checkpointed every 10 levels, so a depth-15
+    # forest does not rebuild a long lineage after a lost executor (the
+    # checkpoint folder is the session's shared spark.checkpoint.dir).
     rf = RandomForestClassifier(
         featuresCol=FEATURES, labelCol=label, numTrees=params.num_trees, maxDepth=params.max_depth,
         minInstancesPerNode=params.min_instances_per_node,
         featureSubsetStrategy=params.feature_subset_strategy, seed=params.seed,
+        cacheNodeIds=True, checkpointInterval=10,
     )
     if weight_col:
         rf = rf.setWeightCol(weight_col)

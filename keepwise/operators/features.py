@@ -264,9 +264,14 @@ def merge_feature_sets(base: DataFrame, *sets: DataFrame, key: str = "customer_i
     return functools.reduce(lambda acc, s: acc.join(s, key, "left"), sets, base)
 
 
-def build_features(tables: dict[str, DataFrame], as_of, profile: str = CORE) -> DataFrame:
+def build_features(tables: dict[str, DataFrame], as_of, profile: str = CORE,
+                   recency_fill: int | None = None) -> DataFrame:
     """Q6: customer base left-joined with the four metric sets, NULL numeric
-    features zero-filled (dates and strings stay NULL)."""
+    features zero-filled (dates and strings stay NULL).
+
+    Zero-filling ``days_since_last_login`` reads "never logged in" as "logged
+    in today", as the reference does. ``recency_fill`` replaces that NULL with
+    a number of days instead (for example the window length, 183)."""
     clocks = as_of if isinstance(as_of, Clocks) else Clocks.single(as_of)
     base = customer_base(tables["customers"], clocks.customers, profile)
     merged = merge_feature_sets(
@@ -276,6 +281,9 @@ def build_features(tables: dict[str, DataFrame], as_of, profile: str = CORE) ->
         support_metrics(tables["support_tickets"], clocks.tickets, profile),
         marketing_metrics(tables["marketing_engagement"], clocks.marketing, profile),
     )
+    if recency_fill is not None:
+        merged = merged.withColumn("days_since_last_login",
+                                   F.coalesce(F.col("days_since_last_login"), F.lit(int(recency_fill))))
     return X.fill_numeric_nulls(merged)
 
 

@@ -434,10 +434,9 @@ def stream_scoring(spark, d):
     test = _split(spark, d).where(F.col("split") == P.TEST).drop("split")
     base = TB.scratch_path(spark, "stream")
     in_dir, out_dir, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    odd = F.col("customer_id") % 2 == 1
-    test.where(odd).write.mode("append").parquet(in_dir)
-    test.where(~odd).write.mode("append").parquet(in_dir)
-    q = score_stream(spark, model, in_dir, out_dir, ckpt, test.schema, as_of=AS_OF_O)
+    # the whole test split arrives as two files, consumed one per micro-batch
+    test.repartition(2, "customer_id").write.mode("append").parquet(in_dir)
+    q = score_stream(spark, model, in_dir, out_dir, ckpt, test.schema, as_of=AS_OF_O, max_files_per_trigger=1)
     q.awaitTermination()
     return TB.read_predictions(spark, out_dir).withColumn(
         "churn_probability", F.col("churn_probability").cast("double"))

@@ -113,6 +113,8 @@ def test_merged_keeps_customer_without_facts_and_zero_fills(spark):
     r = [x for x in rows if x["customer_id"] == 2][0]
     assert r["total_sessions"] == 0 and r["days_since_last_login"] == 0 and r["churned"] == 1
     assert r["last_invoice_date"] is None
+    m2 = FT.build_features({"customers": cust, **empty}, AS_OF, recency_fill=183)
+    assert m2.where("customer_id = 2").first()["days_since_last_login"] == 183
 
 
 def test_one_pass_equals_two_pass_on_fixture(spark):
@@ -142,3 +144,20 @@ def test_result_independent_of_partitioning(spark):
 def test_unknown_profile_rejected(spark):
     with pytest.raises(ValueError):
         FT.customer_base(fx.customers(spark, SF_SMALL), AS_OF, "other")
+
+
+def test_load_tables_round_trip(spark):
+    from keepwise.sources import tables as TB
+
+    base = TB.scratch_path(spark, "test-load")
+    tabs = {"customers": fx.customers(spark, SF_SMALL), "invoices": fx.invoices(spark, SF_SMALL)}
+    for name, df in tabs.items():
+        df.write.parquet(f"{base}/{name}")
+    loaded = TB.load_tables(spark, base, names=("customers", "invoices"))
+    for name, df in tabs.items():
+        assert loaded[name].schema == TB.SCHEMAS[name]
+        assert loaded[name].exceptAll(df.select(*loaded[name].columns)).count() == 0
+    # CSV edge: header plus explicit schema
+    TB.write_csv(tabs["invoices"], f"{base}/csv/invoices")
+    back = TB.load_tables(spark, f"{base}/csv", names=("invoices",), fmt="csv")["invoices"]
+    assert back.exceptAll(tabs["invoices"]).count() == 0

@@ -174,3 +174,31 @@ def test_stream_equals_batch(spark, planted):
                       as_of="2026-05-31 00:00:00")
     q2.awaitTermination()
     assert TB.read_predictions(spark, f"{base}/out").count() == feats.count()
+
+
+def test_end_to_end_jobs(spark):
+    from keepwise.plans import jobs
+    from keepwise.plans.queries import FIXTURE_CLOCKS, fixture_feature_tables
+
+    sf = "/root/testdata/sf0.001"
+    tables = fixture_feature_tables(spark, sf)
+    base = TB.scratch_path(spark, "test-jobs")
+    path, summary = jobs.extract_features(tables, FIXTURE_CLOCKS, f"{base}/raw")
+    assert path.endswith("customer_data_20010201")
+    s = summary.first()
+    assert s["total_features"] == 32 and s["total_customers"] > 0
+    feats = TB.read_csv(spark, path, ML_schema(spark, tables))
+    out = jobs.train_and_evaluate(feats, f"{base}/model", SMALL, folds=0)
+    assert out["confusion_matrix"].agg(F.sum("count")).first()[0] == out["accuracy"].first()["n"]
+    report = jobs.daily_scoring(spark, tables, f"{base}/model", f"{base}/store", "2001-02-01 00:00:00",
+                                clocks=FIXTURE_CLOCKS)
+    cols = report.columns
+    assert "report_rank" in cols and report.where("risk_tier <> 'High Risk'").count() == 0
+    assert TB.read_predictions(spark, f"{base}/store").count() == s["total_customers"]
+
+
+def ML_schema(spark, tables):
+    from keepwise.operators import features as FT
+    from keepwise.plans.queries import FIXTURE_CLOCKS
+
+    return FT.build_features(tables, FIXTURE_CLOCKS).schema
