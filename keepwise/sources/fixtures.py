@@ -36,9 +36,24 @@ CAMPAIGN_MODULUS = 7
 PROBABILITY_MODULUS = 10001
 PROBABILITY_SCALE = 10000
 
+# Schemas of the driver's tables as written: declared, so a read needs no
+# footer-reading job to infer them.
+RAW_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = RAW_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def hash32(text: Column) -> Column:
