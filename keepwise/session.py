@@ -46,6 +46,35 @@ def build_session(
     return spark
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` from filesystem metadata (no
+    data is read; works for any Hadoop-compatible store)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths, target_mb: int = 200,
+                            expansion: float = 1.0) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so each shuffle partition holds
+    about ``target_mb`` of data (``expansion`` scales compressed input to
+    shuffled bytes), never fewer than the cluster's cores. AQE then coalesces
+    small partitions and splits skewed ones around the same advisory size.
+    Returns the partition count."""
+    total = input_bytes(spark, paths) * expansion
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores, int(total // (target_mb * 1024 * 1024)) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{target_mb}m")
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

@@ -95,3 +95,19 @@ def test_mean_when_counts_only_matching_rows(spark):
     df = spark.createDataFrame([(1, 10.0), (0, 0.0), (1, 20.0)], "c int, v double")
     assert df.agg(exprs.mean_when(F.col("c") == 1, F.col("v"))).first()[0] == 15.0
     assert df.agg(exprs.mean_when(F.col("c") == 2, F.col("v"))).first()[0] is None
+
+
+def test_size_shuffle_partitions(spark):
+    from keepwise.session import input_bytes, size_shuffle_partitions
+
+    paths = ["/root/testdata/sf0.001/orders.parquet", "/root/testdata/sf0.001/events.parquet"]
+    assert input_bytes(spark, paths) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        n = size_shuffle_partitions(spark, paths, target_mb=1, expansion=1000.0)
+        assert n >= spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
