@@ -12,8 +12,6 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AsOfLike = "dt.datetime | dt.date | str | Column"
-
 
 def as_of_literal(as_of) -> Column:
     """F-1: the query clock as a ``timestamp_ntz`` literal.
