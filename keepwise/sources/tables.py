@@ -116,12 +116,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def append_predictions(rows: DataFrame, path: str) -> str:
-    """Append prediction rows to the store, partitioned by date so a
-    report over recent days prunes whole folders. Rows carry their own
-    repeatable ids (see ``scores.prediction_key``)."""
-    (rows.select(*[f.name for f in SCHEMAS["churn_predictions"].fields])
-     .write.mode("append").partitionBy("prediction_date").parquet(path))
+def append_predictions(rows: DataFrame, path: str, idempotent: bool = True) -> str:
+    """Add prediction rows to the store, partitioned by date and model
+    version so a report over recent days prunes whole folders.
+
+    With ``idempotent=True`` (default) the write replaces only the
+    (date, version) partitions present in ``rows`` (dynamic partition
+    overwrite): re-running a day after a failure, or twice, leaves exactly one
+    copy of that day's scores, and other days and versions are untouched.
+    ``idempotent=False`` is a plain append, as the reference's INSERT."""
+    cols = [f.name for f in SCHEMAS["churn_predictions"].fields]
+    writer = rows.select(*cols).write.partitionBy("prediction_date", "model_version")
+    if idempotent:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
     return path
 
 

@@ -38,6 +38,6 @@ def score_stream(spark: SparkSession, model: PipelineModel | str, in_dir: str, o
     out = prediction_rows(scored, as_of=as_of, model_version=model_version)
     writer = (out.writeStream.format("parquet").option("path", out_dir)
               .option("checkpointLocation", checkpoint).outputMode("append")
-              .partitionBy("prediction_date"))
+              .partitionBy("prediction_date", "model_version"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

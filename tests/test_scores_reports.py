@@ -52,6 +52,15 @@ def test_prediction_store_append_round_trip(spark):
     assert back.count() == 4
     latest = S.latest_prediction(back).collect()
     assert {r["prediction_date"] for r in latest} == {dt.date(2026, 5, 31)}
+    # re-running a day replaces that day only; another model version is kept apart
+    TB.append_predictions(S.prediction_rows(scored, as_of=dt.datetime(2026, 5, 31)), path)
+    TB.append_predictions(S.prediction_rows(scored, as_of=dt.datetime(2026, 5, 31), model_version="v2"), path)
+    back = TB.read_predictions(spark, path)
+    assert back.count() == 6
+    assert back.where("model_version = 'v2'").count() == 2
+    assert back.schema == TB.SCHEMAS["churn_predictions"]
+    TB.append_predictions(S.prediction_rows(scored, as_of=dt.datetime(2026, 5, 31)), path, idempotent=False)
+    assert TB.read_predictions(spark, path).count() == 8
 
 
 def test_orphans(spark):
