@@ -116,6 +116,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_clustered(df: DataFrame, path: str, sort_cols, partition_cols=(), mode: str = "overwrite",
+                    records_per_file: int | None = None) -> str:
+    """Write a fact table laid out for date-range reads (the counterpart of
+    the reference's customer/date indexes).
+
+    Rows are range-partitioned and sorted on ``sort_cols`` (typically the
+    date, then the customer), so each file and row group covers a narrow
+    date range and Parquet min/max statistics let a pushed-down date filter
+    skip most of them. ``partition_cols`` adds folder pruning on top."""
+    cols = list(sort_cols)
+    out = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    writer = out.write.mode(mode)
+    if records_per_file:
+        writer = writer.option("maxRecordsPerFile", records_per_file)
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    writer.parquet(path)
+    return path
+
+
 def append_predictions(rows: DataFrame, path: str, idempotent: bool = True) -> str:
     """Add prediction rows to the store, partitioned by date and model
     version so a report over recent days prunes whole folders.

@@ -161,3 +161,29 @@ def test_load_tables_round_trip(spark):
     TB.write_csv(tabs["invoices"], f"{base}/csv/invoices")
     back = TB.load_tables(spark, f"{base}/csv", names=("invoices",), fmt="csv")["invoices"]
     assert back.exceptAll(tabs["invoices"]).count() == 0
+
+
+def test_approximate_distinct_counts_close(spark):
+    acts = fx.user_activity(spark, SF_SMALL)
+    exact = {r["customer_id"]: r for r in FT.usage_metrics(acts, fx.AS_OF_EVENTS).collect()}
+    approx = {r["customer_id"]: r for r in FT.usage_metrics(acts, fx.AS_OF_EVENTS, approx_rsd=0.01).collect()}
+    assert set(exact) == set(approx)
+    for c, r in exact.items():
+        for k in ("total_sessions", "active_days", "unique_features_used"):
+            assert abs(approx[c][k] - r[k]) <= max(2, 0.05 * r[k])
+        assert approx[c]["avg_session_duration"] == r["avg_session_duration"]
+
+
+def test_clustered_write_keeps_rows_and_prunes(spark):
+    from keepwise.sources import tables as TB
+
+    inv = fx.invoices(spark, SF_SMALL)
+    path = TB.write_clustered(inv, TB.scratch_path(spark, "test-clustered"), ["invoice_date", "customer_id"],
+                              records_per_file=500)
+    back = spark.read.parquet(path)
+    assert back.exceptAll(inv).count() == 0 and inv.exceptAll(back).count() == 0
+    # every file covers a narrow, non-overlapping date range
+    ranges = (back.groupBy(F.input_file_name().alias("f"))
+              .agg(F.min("invoice_date").alias("lo"), F.max("invoice_date").alias("hi")).orderBy("lo").collect())
+    assert len(ranges) > 1
+    assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
