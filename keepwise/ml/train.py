@@ -124,7 +124,7 @@ def score(model: PipelineModel, df: DataFrame, probability_col: str = "churn_pro
 
 
 def cross_validate(df: DataFrame, params: C.ForestParams = C.ForestParams(), folds: int = 5,
-                   label: str = LABEL, id_col: str = "customer_id", parallelism: int = 2) -> DataFrame:
+                   label: str = LABEL, id_col: str = "customer_id", parallelism: int | None = None) -> DataFrame:
     """M6: k-fold cross-validated ROC-AUC of the whole pipeline; folds come
     from a hash of the id, so they are repeatable and need no sort."""
     num, cats = feature_columns(df)
@@ -133,8 +133,9 @@ def cross_validate(df: DataFrame, params: C.ForestParams = C.ForestParams(), fol
     pipe = build_pipeline(num, cats, params, label)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                        metricName="areaUnderROC")
+    # the folds are independent fits: run them concurrently (each is itself distributed)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=params.seed)
+                        numFolds=folds, foldCol="fold", parallelism=parallelism or folds, seed=params.seed)
     m = cv.fit(data)
     mean, std = float(m.avgMetrics[0]), float(m.stdMetrics[0])
     spark = df.sparkSession
