@@ -4,6 +4,7 @@ smoke check, and plan properties (pushdown, no cartesian products)."""
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 
@@ -74,3 +75,42 @@ def test_projection_is_pruned(spark):
     plan = physical(E.queries()["financial_metrics"](spark, SF_SMALL))
     schema = [ln for ln in plan.splitlines() if "ReadSchema" in ln][0]
     assert "o_orderpriority" not in schema and "o_orderkey" not in schema
+
+
+# Windows are allowed only where their input is bounded: after a top-N limit,
+# or over score histograms (at most 10,001 bins). Never over customer rows.
+BOUNDED_WINDOW_KEYS = {"top_risk_customers", "eval_auc", "roc_curve"}
+
+
+@pytest.mark.parametrize("key", sorted(set(E.queries()) - MODEL_KEYS - {"csv_round_trip", "prediction_store",
+                                                                       "high_risk_report"}))
+def test_windows_only_over_bounded_inputs(spark, key):
+    plan = physical(E.queries()[key](spark, SF_SMALL))
+    if key not in BOUNDED_WINDOW_KEYS:
+        assert "Window" not in plan
+    elif key == "top_risk_customers":
+        assert "TakeOrderedAndProject(limit=100" in plan
+    else:  # the window orders score bins, the output of a grouped aggregation
+        assert re.search(r"windowspecdefinition\(bin#\d+L? (ASC|DESC)", plan), plan
+
+
+def test_tier_counts_sum_to_customers(spark):
+    tiers = E.queries()["tier_segments"](spark, SF_SMALL).agg({"customers": "sum"}).first()[0]
+    latest = E.queries()["latest_prediction"](spark, SF_SMALL).count()
+    assert tiers == latest
+
+
+@pytest.mark.parametrize("full,core", [("usage_metrics", "usage_metrics_core"),
+                                       ("financial_metrics", "financial_metrics_core"),
+                                       ("support_metrics", "support_metrics_core"),
+                                       ("marketing_metrics", "marketing_metrics_core"),
+                                       ("customer_base", "customer_base_core")])
+def test_full_and_core_agree_on_shared_columns(spark, full, core):
+    a = E.queries()[full](spark, SF_SMALL)
+    b = E.queries()[core](spark, SF_SMALL)
+    shared = [c for c in b.columns if c in a.columns]
+    assert len(shared) >= 4
+    # the core base has no test-account filter, so it is a superset there
+    assert a.select(shared).exceptAll(b.select(shared)).count() == 0
+    if full != "customer_base":
+        assert b.select(shared).exceptAll(a.select(shared)).count() == 0
