@@ -35,10 +35,19 @@ def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str = "ra
             .drop(_PID, _MID, "_off"))
 
 
-def top_n(df: DataFrame, order_by: Sequence[Column], n: int, name: str = "rank") -> DataFrame:
+SMALL_TOP_N = 100_000
+
+
+def top_n(df: DataFrame, order_by: Sequence[Column], n: int, name: str = "rank",
+          small_limit: int = SMALL_TOP_N) -> DataFrame:
     """O2: first ``n`` rows in order with their position.
 
-    ``orderBy().limit(n)`` plans as a distributed top-k (each task keeps its
-    best ``n``); the numbering then runs over at most ``n`` rows."""
+    For ``n`` up to ``small_limit``, ``orderBy().limit(n)`` plans as a
+    distributed top-k: each task keeps its best ``n`` and one task merges at
+    most ``n`` x tasks rows, then numbers ``n``. A larger ``n`` would make
+    that merge task the bottleneck, so it switches to the distributed global
+    numbering and keeps ranks ``<= n``."""
+    if n > small_limit:
+        return global_row_number(df, order_by, name).where(F.col(name) <= n)
     top = df.orderBy(*order_by).limit(n)
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("long"))

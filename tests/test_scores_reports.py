@@ -87,6 +87,14 @@ def test_top_n(spark):
     assert [r["id"] for r in top] == [6, 13, 20, 27, 34] and [r["r"] for r in top] == [1, 2, 3, 4, 5]
 
 
+def test_top_n_large_uses_global_numbering(spark):
+    df = spark.createDataFrame([(i, float(i % 7)) for i in range(50)], "id long, s double").repartition(4)
+    order = [F.col("s").desc(), F.col("id").asc()]
+    small = ORD.top_n(df, order, 12, "r").orderBy("r").collect()
+    large = ORD.top_n(df, order, 12, "r", small_limit=5).orderBy("r").collect()
+    assert [(r["id"], r["r"]) for r in small] == [(r["id"], r["r"]) for r in large]
+
+
 def test_high_risk_report_filters_after_latest(spark):
     cust = spark.createDataFrame([
         (1, ts("2025-01-01 00:00:00"), "Active", "X", "S", "I", "Pro", 0, "one", "AM-1"),
