@@ -114,9 +114,19 @@ def train(df: DataFrame, params: C.ForestParams = C.ForestParams(), label: str =
 
 
 def score(model: PipelineModel, df: DataFrame, probability_col: str = "churn_probability",
-          keep: Sequence[str] | None = ("customer_id",)) -> DataFrame:
+          keep: Sequence[str] | None = ("customer_id",), spread_key: str | None = "customer_id",
+          partitions: int | None = None) -> DataFrame:
     """M7: class and positive-class probability for every row, as plain
-    columns (the model's vectors are dropped)."""
+    columns (the model's vectors are dropped).
+
+    Scoring costs CPU per row (every tree is walked), while AQE sizes
+    partitions by bytes: a feature table of millions of narrow rows ends up
+    in a handful of partitions. Rows are therefore hash-spread on
+    ``spread_key`` (unique per row, so balanced) over ``partitions`` (default:
+    twice the cluster's cores) before the model runs."""
+    if spread_key and spread_key in df.columns:
+        n = partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+        df = df.repartition(n, spread_key)
     out = model.transform(df)
     cols = list(keep) if keep is not None else list(df.columns)
     return out.select(*cols, vector_to_array(F.col("probability"))[1].alias(probability_col),
