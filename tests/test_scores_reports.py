@@ -135,3 +135,23 @@ def test_revenue_at_risk_and_actions(spark):
     assert r["save_rate"] == 0.5 and r["net_revenue_protected"] == 75.0
     acts = {x["risk_tier"]: x["action"] for x in R.recommended_action(s).collect()}
     assert acts == {"High Risk": C.TIER_ACTIONS[0][1], "Low Risk": C.TIER_ACTIONS[2][1]}
+
+
+def test_sql_views_reproduce_the_report(spark):
+    import __spark_entry__ as E
+    from keepwise.plans.queries import FIXTURE_CLOCKS, fixture_feature_tables
+    from keepwise.plans.views import register_views
+    from keepwise.sources import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    names = register_views(spark, fixture_feature_tables(spark, sf), FIXTURE_CLOCKS,
+                           predictions=fx.churn_predictions(spark, sf))
+    assert {"customers", "usage_metrics", "high_risk_report", "latest_predictions"} <= set(names)
+    via_sql = spark.sql("""
+        SELECT customer_id, churn_probability, monthly_value
+        FROM high_risk_report
+        ORDER BY churn_probability DESC, monthly_value DESC NULLS LAST, customer_id""").collect()
+    ranked = E.queries()["high_risk_report"](spark, sf).orderBy("report_rank").collect()
+    assert [r["customer_id"] for r in via_sql] == [r["customer_id"] for r in ranked]
+    n = spark.sql("SELECT COUNT(*) FROM customer_features").first()[0]
+    assert n == E.queries()["merged_features"](spark, sf).count()
