@@ -377,7 +377,8 @@ _MODELS: dict = {}
 
 
 def _train_model(spark, d, params: C.ForestParams = C.ForestParams()):
-    key = (d, params)
+    # one fit per application, folder and parameters (a new session refits)
+    key = (spark.sparkContext.applicationId, d, params)
     if key not in _MODELS:
         train = _split(spark, d).where(F.col("split") == P.TRAIN)
         _MODELS[key] = ML.train(train, params)
