@@ -63,15 +63,16 @@ def _f1(p: Column, r: Column) -> Column:
 
 def classification_report(df: DataFrame, label: str = "label", probability: str = "probability",
                           threshold: float = 0.5, prediction: str | None = None) -> DataFrame:
-    """Precision, recall, F1 and support per class, plus macro and
-    support-weighted averages (zero where a denominator is zero)."""
+    """Precision, recall, F1 and support per class, macro and
+    support-weighted averages (zero where a denominator is zero), and the
+    accuracy line (its value in ``f1_score``, as the printed report shows it)."""
     c = confusion_counts(df, label, probability, threshold, prediction)
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     s0, s1 = tn + fp, tp + fn
     p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
     p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
     m = c.select(p0.alias("p0"), r0.alias("r0"), p1.alias("p1"), r1.alias("r1"),
-                 s0.alias("s0"), s1.alias("s1"))
+                 s0.alias("s0"), s1.alias("s1"), "tn", "tp")
     m = m.withColumn("f0", _f1(F.col("p0"), F.col("r0"))).withColumn("f1", _f1(F.col("p1"), F.col("r1")))
     tot = (F.col("s0") + F.col("s1")).cast("double")
 
@@ -79,12 +80,15 @@ def classification_report(df: DataFrame, label: str = "label", probability: str
         return F.when(tot > 0, (F.col(a) * F.col("s0").cast("double") + F.col(b) * F.col("s1").cast("double"))
                       / tot).otherwise(F.lit(0.0))
 
+    acc = F.when(tot > 0, (F.col("tn") + F.col("tp")).cast("double") / tot)
+    none = F.lit(None).cast("double")
     rows = [
         ("0", F.col("p0"), F.col("r0"), F.col("f0"), F.col("s0")),
         ("1", F.col("p1"), F.col("r1"), F.col("f1"), F.col("s1")),
         ("macro avg", (F.col("p0") + F.col("p1")) / 2.0, (F.col("r0") + F.col("r1")) / 2.0,
          (F.col("f0") + F.col("f1")) / 2.0, F.col("s0") + F.col("s1")),
         ("weighted avg", wavg("p0", "p1"), wavg("r0", "r1"), wavg("f0", "f1"), F.col("s0") + F.col("s1")),
+        ("accuracy", none, none, acc, F.col("s0") + F.col("s1")),
     ]
     return m.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("class"), p.alias("precision"), r.alias("recall"), f.alias("f1_score"),
@@ -116,16 +120,20 @@ def roc_auc(df: DataFrame, label: str = "label", probability: str = "probability
 
 
 def roc_curve(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """One point per distinct binned score, from the highest threshold
-    down: (threshold, fpr, tpr) with rows scoring >= threshold predicted
-    positive."""
-    h = score_histogram(df, label, probability)
+    """The curve's points from the highest threshold down: first
+    (threshold +inf, fpr 0, tpr 0), then one point per distinct binned score
+    with rows scoring >= threshold predicted positive."""
+    hist = score_histogram(df, label, probability)
     down = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     allrows = Window.partitionBy(F.lit(1))
-    h = (h.withColumn("cum_pos", F.sum("pos").over(down)).withColumn("cum_neg", F.sum("neg").over(down))
+    h = (hist.withColumn("cum_pos", F.sum("pos").over(down)).withColumn("cum_neg", F.sum("neg").over(down))
          .withColumn("P", F.sum("pos").over(allrows)).withColumn("N", F.sum("neg").over(allrows)))
-    return h.select(
+    points = h.select(
         (F.col("bin").cast("double") / F.lit(float(SCORE_BINS))).alias("threshold"),
         _div(F.col("cum_neg"), F.col("N")).alias("fpr"),
         _div(F.col("cum_pos"), F.col("P")).alias("tpr"),
     )
+    # the starting point exists when there is any row (the histogram has a bin)
+    start = hist.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0).select(
+        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(points)

@@ -295,18 +295,24 @@ def _wavg(a, b):
 
 @register("classification_report", _LABELLED + f""", m AS (SELECT {_div('tn', 'tn + fn')} AS p0,
         {_div('tn', 'tn + fp')} AS r0, {_div('tp', 'tp + fp')} AS p1, {_div('tp', 'tp + fn')} AS r1,
-        tn + fp AS s0, tp + fn AS s1 FROM counts),
+        tn + fp AS s0, tp + fn AS s1, tn, tp FROM counts),
     m2 AS (SELECT *, {_f1('p0', 'r0')} AS f0, {_f1('p1', 'r1')} AS f1 FROM m)
     SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, CAST(s0 AS BIGINT) AS support FROM m2
     UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM m2
     UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, CAST(s0 + s1 AS BIGINT) FROM m2
     UNION ALL SELECT 'weighted avg', {_wavg('p0', 'p1')}, {_wavg('r0', 'r1')}, {_wavg('f0', 'f1')},
+        CAST(s0 + s1 AS BIGINT) FROM m2
+    UNION ALL SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+        CASE WHEN CAST(s0 + s1 AS DOUBLE) > 0 THEN CAST(tn + tp AS DOUBLE) / CAST(s0 + s1 AS DOUBLE) END,
         CAST(s0 + s1 AS BIGINT) FROM m2""")
 def classification_report(spark, d):
     return EVAL.classification_report(_labelled(spark, d))
 
 
-@register("roc_curve", _LABELLED + """SELECT CAST(bin AS DOUBLE) / 10000.0 AS threshold,
+@register("roc_curve", _LABELLED + """SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+    FROM labelled HAVING COUNT(*) > 0
+    UNION ALL
+    SELECT CAST(bin AS DOUBLE) / 10000.0 AS threshold,
     CASE WHEN N > 0 THEN CAST(cum_neg AS DOUBLE) / CAST(N AS DOUBLE) ELSE 0.0 END AS fpr,
     CASE WHEN P > 0 THEN CAST(cum_pos AS DOUBLE) / CAST(P AS DOUBLE) ELSE 0.0 END AS tpr
     FROM (SELECT bin, SUM(pos) OVER (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,

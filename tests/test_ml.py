@@ -60,6 +60,7 @@ def test_confusion_and_report(spark, labelled):
     assert rep["1"]["precision"] == pytest.approx(prec1)
     assert rep["1"]["f1_score"] == pytest.approx(2 * prec1 * rec1 / (prec1 + rec1))
     assert rep["weighted avg"]["support"] == len(rows)
+    assert rep["accuracy"]["precision"] is None and rep["accuracy"]["support"] == len(rows)
     acc = EVAL.accuracy(labelled).first()["accuracy"]
     assert acc == pytest.approx((cm[(0, 0)] + cm[(1, 1)]) / len(rows))
 
@@ -74,6 +75,7 @@ def test_single_class_metrics_do_not_fail(spark):
 def test_roc_curve_ends_at_one(spark, labelled):
     pts = EVAL.roc_curve(labelled).orderBy("threshold").collect()
     assert pts[0]["tpr"] == 1.0 and pts[0]["fpr"] == 1.0
+    assert pts[-1]["threshold"] == float("inf") and (pts[-1]["fpr"], pts[-1]["tpr"]) == (0.0, 0.0)
     tprs = [p["tpr"] for p in pts]
     assert tprs == sorted(tprs, reverse=True)
 
