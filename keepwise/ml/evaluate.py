@@ -123,17 +123,19 @@ def roc_curve(df: DataFrame, label: str = "label", probability: str = "probabili
     """The curve's points from the highest threshold down: first
     (threshold +inf, fpr 0, tpr 0), then one point per distinct binned score
     with rows scoring >= threshold predicted positive."""
-    hist = score_histogram(df, label, probability)
+    h = score_histogram(df, label, probability)
     down = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     allrows = Window.partitionBy(F.lit(1))
-    h = (hist.withColumn("cum_pos", F.sum("pos").over(down)).withColumn("cum_neg", F.sum("neg").over(down))
+    h = (h.withColumn("cum_pos", F.sum("pos").over(down)).withColumn("cum_neg", F.sum("neg").over(down))
          .withColumn("P", F.sum("pos").over(allrows)).withColumn("N", F.sum("neg").over(allrows)))
-    points = h.select(
+    point = F.struct(
         (F.col("bin").cast("double") / F.lit(float(SCORE_BINS))).alias("threshold"),
         _div(F.col("cum_neg"), F.col("N")).alias("fpr"),
         _div(F.col("cum_pos"), F.col("P")).alias("tpr"),
     )
-    # the starting point exists when there is any row (the histogram has a bin)
-    start = hist.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0).select(
-        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return start.unionByName(points)
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    # the highest bin is the only one whose cumulative counts equal its own:
+    # it also emits the starting point, so the curve needs no second pass
+    first = (F.col("cum_pos") + F.col("cum_neg")) == (F.col("pos") + F.col("neg"))
+    pts = F.when(first, F.array(start, point)).otherwise(F.array(point))
+    return h.select(F.explode(pts).alias("p")).select("p.*")
