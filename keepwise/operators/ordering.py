@@ -15,13 +15,18 @@ def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str = "ra
     """Number rows 1..n in the given order without a single-partition window.
 
     The frame is range-partitioned and sorted by Spark (a distributed sort),
+    with a row hash appended to the keys so that many rows sharing one key
+    value still spread over several partitions,
     each row is tagged with its partition id and position, and the tagged
     rows are checkpointed to the shared checkpoint folder so the tags survive
     a lost executor and cannot change between the two jobs that use them.
     Per-partition counts (one row per partition, bounded by the shuffle
     partition count) give prefix offsets, broadcast back to add them.
     """
-    sorted_df = df.orderBy(*order_by)
+    # a hash of the whole row as the last key: range boundaries can then split
+    # a hot value of the caller's keys (ties keep a valid, repeatable order)
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    sorted_df = df.orderBy(*order_by, tiebreak)
     tagged = (sorted_df
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id())

@@ -99,3 +99,23 @@ def test_latest_prediction_with_hot_customer(spark):
     assert got[7] == hot[0] and len(got) == len({r[1] for r in rows})
     plan = physical(S.latest_prediction(df))
     assert "partial_max_by" in plan
+
+
+def test_global_row_number_splits_a_hot_key(spark):
+    from keepwise.operators import ordering as ORD
+
+    rows = [(i, 1.0 if i % 3 == 0 else float(i)) for i in range(3000)]  # a third share one key
+    df = spark.createDataFrame(rows, "id long, v double").repartition(6)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # keep the sort's partitions visible
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        ranked = ORD.global_row_number(df, [F.col("v").desc()], "r")
+    finally:
+        spark.conf.set(key, before)
+    got = ranked.select("r", "v").collect()
+    assert sorted(r["r"] for r in got) == list(range(1, 3001))
+    by_rank = [r["v"] for r in sorted(got, key=lambda r: r["r"])]
+    assert by_rank == sorted((v for _, v in rows), reverse=True)
+    per_part = ranked.where("v = 1.0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_part) > 1  # the hot key is spread, not held by one partition
