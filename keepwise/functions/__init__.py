@@ -1,0 +1 @@
+"""Column helpers: clocks and calendar arithmetic (dates), business expressions (exprs)."""

@@ -1,0 +1 @@
+"""Spark ML: training-table preparation, the forest pipeline and evaluation metrics."""

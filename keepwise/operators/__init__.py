@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: feature sets, scores, ordering, reports."""

@@ -1,0 +1 @@
+"""Sources and sinks: declared schemas, table loading, CSV edge, prediction store, fixture adapters."""

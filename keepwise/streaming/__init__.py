@@ -1,0 +1 @@
+"""Structured Streaming: file-stream scoring into the prediction store."""
