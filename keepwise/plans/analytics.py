@@ -198,8 +198,7 @@ def activity_rollup(spark, d):
     return FT.activity_rollup(fx.user_activity(spark, d), AS_OF_E)
 
 
-def _lift_sql() -> str:
-    t = FIXTURE_LIFT
+def _lift_sql(t: C.LiftThresholds = FIXTURE_LIFT) -> str:
     flags = {
         "inactive": f"days_since_last_login > {float(t.inactive_days)}",
         "support_tickets": f"CAST(total_tickets AS DOUBLE) / {float(t.ticket_window_months)} > {float(t.tickets_per_month)}",
@@ -225,13 +224,24 @@ def _lift_sql() -> str:
     CASE WHEN ({rate0}) > 0 THEN ({rate1}) / ({rate0}) END AS lift FROM ({body}) s""")
 
 
-@register("indicator_lift", _lift_sql())
-def indicator_lift(spark, d):
+def _lift(spark, d, thresholds: C.LiftThresholds):
     act = fx.user_activity(spark, d)
     window = act.where(dates.in_window(F.col("login_date"), dates.months_before(AS_OF_E, C.USAGE_MONTHS),
                                        dates.as_of_literal(AS_OF_E)))
     available = window.agg(F.countDistinct("feature_id").alias("features_available"))
-    return R.indicator_lift(_merged(spark, d), available, FIXTURE_LIFT)
+    return R.indicator_lift(_merged(spark, d), available, thresholds)
+
+
+@register("indicator_lift", _lift_sql())
+def indicator_lift(spark, d):
+    return _lift(spark, d, FIXTURE_LIFT)
+
+
+@register("indicator_lift_readme", _lift_sql(C.LiftThresholds()))
+def indicator_lift_readme(spark, d):
+    """The README's own thresholds; on the fixture some groups are empty, so
+    their lift is NULL rather than a division by zero."""
+    return _lift(spark, d, C.LiftThresholds())
 
 
 # --- 2.10 evaluation on the fixture scores ----------------------------------------------------
