@@ -1,9 +1,9 @@
 """Adapters from the driver's TPC-H-style tables to the business tables.
 
 The reference ships no data; ``FIXTURES.md`` fixes how each business table is
-derived from the driver's Parquet tables. Every adapter is a plain projection
-(or one join), so Catalyst prunes columns and pushes date filters through the
-renamed columns into the scan.
+derived from the driver's Parquet tables. Every adapter is a projection,
+joined at most to a dimension or a per-customer key set, so Catalyst prunes
+columns and pushes date filters through the renamed columns into the scan.
 """
 
 from __future__ import annotations
