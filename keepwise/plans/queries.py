@@ -91,6 +91,11 @@ def merged_features(spark, d):
     return FT.build_features(fixture_feature_tables(spark, d), FIXTURE_CLOCKS, FT.CORE)
 
 
+def merged_features_full(spark, d):
+    """The five SQL-file feature sets merged (44 columns)."""
+    return FT.build_features(fixture_feature_tables(spark, d), FIXTURE_CLOCKS, FT.FULL)
+
+
 def high_risk_report(spark, d):
     return R.high_risk_report(
         fx.customers(spark, d),
@@ -114,6 +119,7 @@ QUERIES: dict[str, QueryFn] = {
     "marketing_metrics": marketing_metrics,
     "marketing_metrics_core": marketing_metrics_core,
     "merged_features": merged_features,
+    "merged_features_full": merged_features_full,
     "high_risk_report": high_risk_report,
 }
 
@@ -130,5 +136,6 @@ ORACLE: dict[str, str] = {
     "marketing_metrics": O.q_marketing("full"),
     "marketing_metrics_core": O.q_marketing("core"),
     "merged_features": O.q_merged(),
+    "merged_features_full": O.q_merged("full"),
     "high_risk_report": O.q_high_risk_report(),
 }
