@@ -230,3 +230,13 @@ def test_stream_restart_scores_each_file_once(spark, planted):
     out = TB.read_predictions(spark, f"{base}/out")
     assert out.count() == feats.count()
     assert out.select("customer_id").distinct().count() == feats.count()
+
+
+def test_seeded_forest_is_repeatable(spark, planted):
+    train = planted.where("split = 'train'")
+    # same rows arriving in a different partitioning must give the same model
+    a = ML.score(ML.train(train, SMALL), planted).select("customer_id", F.col("churn_probability").alias("a"))
+    b = ML.score(ML.train(train.repartition(7), SMALL), planted).select(
+        "customer_id", F.col("churn_probability").alias("b"))
+    j = a.join(b, "customer_id")
+    assert j.count() == planted.count() and j.where("a <> b").count() == 0
