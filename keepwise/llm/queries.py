@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash
+from . import language, packing, pii, simhash, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,16 +17,30 @@ BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_BPE_RANKS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simhash_near_duplicates, op10_best_fit_packing)
+    f.__name__: f for f in (
+        op3_language_identification, op4_simhash_near_duplicates, op5_toxicity_grades, op9_personal_data,
+        op10_best_fit_packing)
 }
 #: DuckDB twins; none of these can be stated in SQL, so the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
