@@ -36,13 +36,13 @@ MAX_FEATURES = 2000
 #: Share of the toxic sample (and rows) a feature must occur in, and how many times likelier it must be there.
 MIN_TOXIC_SHARE = 0.004
 MIN_TOXIC_ROWS = 3
-MIN_LIFT = 25.0
+MIN_LIFT = 60.0
 PREFIXES = range(3, 9)
 #: The feature that counts all known words.
 ANY = "*"
 L2 = 2e-5
 #: Documents of at least this expected severity (0 to 2) are rejected.
-REJECT_SEVERITY = 0.5
+REJECT_SEVERITY = 0.2
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -89,7 +89,7 @@ class OrdinalModel:
         return float(sum(1 / (1 + np.exp(np.clip(t - z, -50, 50))) for t in self.thresholds))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = L2, steps: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = L2, steps: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds of the cumulative-link model by full
     gradient steps (Adam); threshold 2 = threshold 1 + exp(gap)."""
     # equal rows (most clean texts hold no feature) count once, with their number
@@ -107,7 +107,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = L2, steps: int = 1
         d2 = np.select([grade == 1, grade == 2], [1.0, -1.0], 0.0) / p * c2 * (1 - c2) * share
         up = np.concatenate([-(x.T @ (d1 + d2)) - l2 * w, [(d1 + d2).sum(), (d2 * np.exp(gap)).sum()]])
         m, v = 0.9 * m + 0.1 * up, 0.999 * v + 0.001 * up * up
-        move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+        move = 0.2 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, t, gap = np.maximum(0, w + move[:-2]), t + move[-2], gap + move[-1]
     return w, np.array([t, t + np.exp(gap)])
 
