@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, pii, simhash, toxicity
+from . import ann, language, packing, pii, simhash, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,10 @@ def op5_toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -39,8 +43,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_language_identification, op4_simhash_near_duplicates, op5_toxicity_grades, op9_personal_data,
-        op10_best_fit_packing)
+        op3_language_identification, op4_simhash_near_duplicates, op5_toxicity_grades, op7_nearest_neighbours,
+        op9_personal_data, op10_best_fit_packing)
 }
 #: DuckDB twins; none of these can be stated in SQL, so the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
