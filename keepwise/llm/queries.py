@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, packing, pii, simhash, toxicity
+from . import ann, language, packing, pii, simhash, sketch, toxicity
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op3_language_identification, op4_simhash_near_duplicates, op5_toxicity_grades, op7_nearest_neighbours,
-        op9_personal_data, op10_best_fit_packing)
+        op8_document_fingerprints, op9_personal_data, op10_best_fit_packing)
 }
 #: DuckDB twins; none of these can be stated in SQL, so the tests hold them against brute force.
 ORACLE: dict[str, str] = {}
