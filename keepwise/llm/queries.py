@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, language, packing, pii, simhash, sketch, toxicity, wrappers
+from . import ann, bpe, language, packing, pii, simhash, sketch, toxicity, wrappers
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,10 @@ BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages"))
 
@@ -51,7 +55,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_html_main_text, op3_language_identification, op4_simhash_near_duplicates, op5_toxicity_grades, op7_nearest_neighbours,
+        op1_bpe_round_trip, op2_html_main_text, op3_language_identification,
+        op4_simhash_near_duplicates, op5_toxicity_grades, op7_nearest_neighbours,
         op8_document_fingerprints, op9_personal_data, op10_best_fit_packing)
 }
 #: DuckDB twins; none of these can be stated in SQL, so the tests hold them against brute force.
