@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, language, packing, pii, simhash, sketch, toxicity, wrappers
+from . import ann, bpe, language, licences, packing, pii, simhash, sketch, toxicity, wrappers
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op5_toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -56,7 +60,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_round_trip, op2_html_main_text, op3_language_identification,
-        op4_simhash_near_duplicates, op5_toxicity_grades, op7_nearest_neighbours,
+        op4_simhash_near_duplicates, op5_toxicity_grades, op6_licence_scan, op7_nearest_neighbours,
         op8_document_fingerprints, op9_personal_data, op10_best_fit_packing)
 }
 #: DuckDB twins; none of these can be stated in SQL, so the tests hold them against brute force.
