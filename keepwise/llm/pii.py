@@ -54,7 +54,7 @@ _GATES = {
     "card": lambda t: t.rlike(r"(?:[0-9][ -]?+){12}[0-9]"),
     "phone": lambda t: F.contains(t, F.lit("+")),
 }
-_PART = "0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_PART = "0*+(?:[0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _SPAN = "array<struct<kind:string,start:int,stop:int,found:string>>"
 
 

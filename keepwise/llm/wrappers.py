@@ -33,6 +33,8 @@ from .common import annotate, materialise, ready_workers
 SALTS = 32
 #: Hosts whose wrappers a map task holds at once.
 HELD_HOSTS = 5000
+#: Elements nested deeper belong to the last element that is not.
+MAX_DEPTH = 120
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
@@ -83,14 +85,14 @@ class Element:
 def parse(page: str) -> Element:
     """Tree of the page's block elements; tolerant of missing and stray tags."""
     root = Element("page", "page")
-    stack, links, at, n = [root], 0, 0, len(page)
+    stack, links, at, n = [("page", root)], 0, 0, len(page)
 
     def close(names, until=()):
         for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
+            if stack[i][0] in names:
                 del stack[i:]
                 return
-            if stack[i].tag in until:
+            if stack[i][0] in until:
                 return
 
     while at < n:
@@ -98,13 +100,13 @@ def parse(page: str) -> Element:
         match = _TOKEN.match(page, start) if start >= 0 else None
         end = n if start < 0 else start if match else start + 1
         if end > at:
-            stack[-1].children.append((page[at:end], links > 0))
+            stack[-1][1].children.append((page[at:end], links > 0))
         if not match:
             at = end
             continue
         at = match.end()
         if match[0].startswith("<![CDATA["):
-            stack[-1].children.append((entities.escape(match[0][9:].removesuffix("]]>")), links > 0))
+            stack[-1][1].children.append((entities.escape(match[0][9:].removesuffix("]]>")), links > 0))
         if match[2] is None:
             continue
         tag, closing = match[2].lower(), bool(match[1])
@@ -112,7 +114,7 @@ def parse(page: str) -> Element:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*+>?", re.I).search(page, at)
             at = stop.end() if stop else n
         elif tag in ("br", "wbr", "hr"):
-            stack[-1].children.append((" " if tag != "wbr" else "", False))
+            stack[-1][1].children.append((" " if tag != "wbr" else "", False))
         elif tag == "a":
             links = max(0, links + (-1 if closing else 1))
         elif tag in _VOID or tag in _INLINE or tag in _RAW:
@@ -126,10 +128,14 @@ def parse(page: str) -> Element:
                 close(names.split(), until.split())
             if tag in _PARAGRAPH_ENDS:
                 close(("p",), ("td", "li", "div", "article", "section"))
+            if len(stack) > MAX_DEPTH:
+                stack[-1][1].children.append((" ", False))
+                stack.append((tag, stack[-1][1]))
+                continue
             element = Element(_label(tag, match[3]), tag)
-            stack[-1].children.append(element)
+            stack[-1][1].children.append(element)
             if not match[3].endswith("/"):
-                stack.append(element)
+                stack.append((tag, element))
     return root
 
 
