@@ -1,10 +1,7 @@
 """DuckDB definitions of the business tables over the driver's raw tables.
 
 Each oracle query is ``WITH <adapters> <query>``: the adapters restate
-``FIXTURES.md`` in DuckDB SQL, and the query keeps the reference's own shape
-(two CTEs joined on the key, explicit CASE expressions), so the Spark
-operators are checked against the reference semantics rather than against
-their own rewrite.
+``FIXTURES.md`` in DuckDB SQL.
 """
 
 from __future__ import annotations
@@ -76,7 +73,7 @@ ADAPTERS: dict[str, str] = {
     FROM events
 )""",
     "churn_predictions": f"""churn_predictions AS (
-    SELECT o_orderkey AS prediction_id,
+    SELECT CAST(o_orderkey AS VARCHAR) AS prediction_id,
            o_custkey AS customer_id,
            CAST(o_orderdate AS DATE) AS prediction_date,
            CAST(CAST({_H} % 10001 AS DOUBLE) / 10000.0 AS DECIMAL(5,4)) AS churn_probability,
@@ -84,9 +81,8 @@ ADAPTERS: dict[str, str] = {
                 WHEN CAST({_H} % 10001 AS DOUBLE) / 10000.0 >= 0.4 THEN 'Medium Risk'
                 ELSE 'Low Risk' END AS risk_tier,
            'v1.0' AS model_version,
-           o_orderdate AS created_at
+           o_orderdate + to_minutes(CAST((o_orderkey * 7) % 1440 AS BIGINT)) AS created_at
     FROM orders
-    WHERE o_orderdate < {AS_OF_ORDERS_SQL}
 )""",
 }
 

@@ -142,9 +142,9 @@ def relative_change(spark, d):
                     X.relative_change(F.col("recent"), F.col("previous")).alias("change"))
 
 
-@register("coalesce_zero", with_tables("customers", "user_activity", extra=O.usage_ctes("full")) + f"""SELECT
+@register("coalesce_zero", with_tables("customers", "user_activity") + f"""SELECT
     c.customer_id, COALESCE(u.total_sessions, 0) AS total_sessions, COALESCE(u.total_api_calls, 0) AS total_api_calls
-    FROM customers c LEFT JOIN ({O.usage_select('full')}) u ON c.customer_id = u.customer_id""")
+    FROM customers c LEFT JOIN ({O.usage_sql('full')}) u ON c.customer_id = u.customer_id""")
 def coalesce_zero(spark, d):
     u = FT.usage_metrics(fx.user_activity(spark, d), AS_OF_E, FT.FULL)
     c = fx.customers(spark, d).select("customer_id")
@@ -227,7 +227,7 @@ def _status_is(status: str) -> str:
 
 
 @register("agg_conditional_count", _per_customer("invoices", ", ".join([
-    f"{O.cnt(_status_is(s))} AS {s.lower()}_payments" for s in ("Late", "Failed", "Paid")])))
+    f"{O.many(_status_is(s))} AS {s.lower()}_payments" for s in ("Late", "Failed", "Paid")])))
 def agg_conditional_count(spark, d):
     st = F.col("payment_status")
     return fx.invoices(spark, d).groupBy("customer_id").agg(

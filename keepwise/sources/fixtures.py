@@ -35,6 +35,7 @@ NPS_MODULUS = 11
 CAMPAIGN_MODULUS = 7
 PROBABILITY_MODULUS = 10001
 PROBABILITY_SCALE = 10000
+CREATED_STRIDE = 7
 
 # Schemas of the driver's tables as written: declared, so a read needs no
 # footer-reading job to infer them.
@@ -56,11 +57,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def hash32(text: Column) -> Column:
-    """First 8 hex digits of md5(text) as a non-negative integer."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-
-
 def _json_k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
@@ -206,36 +202,38 @@ def marketing_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_probability(key: Column, salt: str = ":p") -> Column:
     """Deterministic score in [0, 1] with four decimals, as a double."""
-    h = hash32(F.concat(key.cast("string"), F.lit(salt)))
+    h = exprs.hash32(F.concat(key.cast("string"), F.lit(salt)))
     return (h % PROBABILITY_MODULUS).cast("double") / F.lit(float(PROBABILITY_SCALE))
 
 
-def churn_predictions(spark: SparkSession, sf_dir: str, as_of=AS_OF_ORDERS) -> DataFrame:
-    """churn_predictions <- orders dated before ``as_of`` (one score per order)."""
-    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderdate") < dates.as_of_literal(as_of))
+def churn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """churn_predictions <- orders (one score per order, also after the clock;
+    several of one customer and day differ in their minute of insert)."""
+    o = read_table(spark, sf_dir, "orders")
     p = fixture_probability(F.col("o_orderkey"))
     return o.select(
-        F.col("o_orderkey").alias("prediction_id"),
+        F.col("o_orderkey").cast("string").alias("prediction_id"),
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("prediction_date"),
         p.cast("decimal(5,4)").alias("churn_probability"),
         exprs.risk_tier(p).alias("risk_tier"),
         F.lit(C.DEFAULT_MODEL_VERSION).alias("model_version"),
-        F.col("o_orderdate").alias("created_at"),
+        F.timestamp_add("MINUTE", (F.col("o_orderkey") * CREATED_STRIDE) % 1440, F.col("o_orderdate")).alias("created_at"),
     )
 
 
 def scored_labels(spark: SparkSession, sf_dir: str, as_of=AS_OF_ORDERS) -> DataFrame:
-    """(customer_id, label, probability) for evaluation: each customer's
-    latest fixture prediction joined with its status label."""
+    """(customer_id, label, probability) for evaluation: the customers with a
+    fixture prediction, their status label and a score of 32 binary digits."""
     from ..operators.scores import latest_prediction
 
-    lp = latest_prediction(churn_predictions(spark, sf_dir, as_of))
+    lp = latest_prediction(churn_predictions(spark, sf_dir), as_of=as_of)
     cust = customers(spark, sf_dir, as_of).select("customer_id", "account_status")
     return lp.join(cust, "customer_id", "inner").select(
         "customer_id",
         exprs.churn_label(F.col("account_status")).alias("label"),
-        F.col("churn_probability").cast("double").alias("probability"),
+        (exprs.hash32(F.concat(F.col("customer_id").cast("string"), F.lit(":e"))).cast("double") / F.lit(2.0**32))
+        .alias("probability"),
     )
 
 
