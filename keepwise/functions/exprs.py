@@ -57,6 +57,12 @@ def relative_change(recent: Column, previous: Column) -> Column:
     return F.when(p > 0, (r - p) / p).otherwise(F.lit(0.0))
 
 
+def hash32(text: Column) -> Column:
+    """First 8 hex digits of md5(text) as a non-negative integer: a bucket
+    number for splits and folds, not an identifier."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def coalesce_zero(c: Column) -> Column:
     """P10: ``COALESCE(c, 0)``."""
     return F.coalesce(c, F.lit(0))

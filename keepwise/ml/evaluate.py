@@ -2,20 +2,19 @@
 (M8 .. M11, M13).
 
 Every metric is an aggregation, so it runs where the scores are. AUC and the
-ROC curve come from a score histogram: scores are binned to four decimals
-(at most 10,001 bins whatever the row count), so the only un-partitioned
-window runs over the bins, never over customers. Counts stay integers until
-the final division, which keeps results independent of partitioning.
+ROC curve come from the counts per distinct score and their range-partitioned
+running sums; scores are not rounded. Counts stay exact until the final
+division, which keeps results independent of partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-
-SCORE_BINS = 10000
+from ..operators.ordering import running_sums
+from ..operators.reports import attach_scalar
 
 
 def predicted(prob: Column, threshold: float = 0.5) -> Column:
@@ -96,24 +95,22 @@ def classification_report(df: DataFrame, label: str = "label", probability: str
         for n, p, r, f, s in rows])).alias("r")).select("r.*")
 
 
-def score_histogram(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """(bin, pos, neg): rows per four-decimal score bin and class."""
-    b = F.round(F.col(probability).cast("double") * F.lit(float(SCORE_BINS))).cast("long")
+def score_counts(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
+    """(score, pos, neg): rows per distinct score and class."""
     y = F.col(label) == 1
-    return df.groupBy(b.alias("bin")).agg(X.count_when(y).alias("pos"), X.count_when(~y).alias("neg"))
+    return df.groupBy(F.col(probability).cast("double").alias("score")).agg(
+        X.count_when(y).alias("pos"), X.count_when(~y).alias("neg"))
 
 
 def roc_auc(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
-    """M9: exact Mann-Whitney AUC over binned scores (ties count one half):
-    sum(pos * (2 * neg_below + neg_tied)) / (2 * P * N)."""
-    h = score_histogram(df, label, probability)
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    h = h.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    t = h.agg(
-        F.sum(F.col("pos") * (F.lit(2) * F.col("neg_below") + F.col("neg"))).cast("decimal(38,0)").alias("u2"),
-        F.sum("pos").cast("long").alias("positives"),
-        F.sum("neg").cast("long").alias("negatives"),
-    )
+    """M9: exact Mann-Whitney AUC over the distinct scores (ties count one
+    half): sum(pos * (2 * neg_below + neg_tied)) / (2 * P * N). The running
+    sum is range-partitioned and all counts are decimals, so neither the number
+    of scores nor of rows is limited."""
+    h = running_sums(score_counts(df, label, probability), [F.col("score").asc()], ["neg"])
+    pair = F.col("pos").cast("decimal(18,0)") * (F.lit(2) * F.col("neg_before") + F.col("neg")).cast("decimal(20,0)")
+    t = h.agg(F.sum(pair).alias("u2"), F.sum("pos").cast("long").alias("positives"),
+              F.sum("neg").cast("long").alias("negatives"))
     den = F.lit(2.0) * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return t.select("positives", "negatives",
                     F.when(den > 0, F.col("u2").cast("double") / den).alias("roc_auc"))
@@ -121,21 +118,18 @@ def roc_auc(df: DataFrame, label: str = "label", probability: str = "probability
 
 def roc_curve(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """The curve's points from the highest threshold down: first
-    (threshold +inf, fpr 0, tpr 0), then one point per distinct binned score
-    with rows scoring >= threshold predicted positive."""
-    h = score_histogram(df, label, probability)
-    down = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    allrows = Window.partitionBy(F.lit(1))
-    h = (h.withColumn("cum_pos", F.sum("pos").over(down)).withColumn("cum_neg", F.sum("neg").over(down))
-         .withColumn("P", F.sum("pos").over(allrows)).withColumn("N", F.sum("neg").over(allrows)))
+    (threshold +inf, fpr 0, tpr 0), then one point per distinct score with rows
+    scoring >= threshold predicted positive."""
+    counts = score_counts(df, label, probability)
+    h = running_sums(counts, [F.col("score").desc()], ["pos", "neg"])
+    h = attach_scalar(h, counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
     point = F.struct(
-        (F.col("bin").cast("double") / F.lit(float(SCORE_BINS))).alias("threshold"),
-        _div(F.col("cum_neg"), F.col("N")).alias("fpr"),
-        _div(F.col("cum_pos"), F.col("P")).alias("tpr"),
+        F.col("score").alias("threshold"),
+        _div(F.col("neg_before") + F.col("neg"), F.col("N")).alias("fpr"),
+        _div(F.col("pos_before") + F.col("pos"), F.col("P")).alias("tpr"),
     )
     start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    # the highest bin is the only one whose cumulative counts equal its own:
-    # it also emits the starting point, so the curve needs no second pass
-    first = (F.col("cum_pos") + F.col("cum_neg")) == (F.col("pos") + F.col("neg"))
+    # nothing is above the highest score: it also emits the starting point
+    first = (F.col("pos_before") + F.col("neg_before")) == 0
     pts = F.when(first, F.array(start, point)).otherwise(F.array(point))
     return h.select(F.explode(pts).alias("p")).select("p.*")

@@ -27,6 +27,10 @@ FULL = "full"
 CORE = "core"
 
 
+#: Words of 64 days that cover the usage window (a month has at most 31 days).
+DAY_WORDS = -(-(31 * C.USAGE_MONTHS + 1) // 64)
+
+
 def _check(profile: str) -> None:
     if profile not in (FULL, CORE):
         raise ValueError(f"profile must be 'full' or 'core', got {profile!r}")
@@ -87,7 +91,6 @@ def usage_metrics(activity: DataFrame, as_of, profile: str = FULL, approx_rsd: f
     df = _window(activity, "login_date", dates.months_before(as_of, C.USAGE_MONTHS), as_of)
     aggs = [
         _distinct("session_id", approx_rsd).alias("total_sessions"),
-        _distinct(dates.to_day(login), approx_rsd).alias("active_days"),
         X.exact_mean(dur).alias("avg_session_duration"),
         F.max(login).alias("last_login_date"),
         _distinct("feature_id", approx_rsd).alias("unique_features_used"),
@@ -105,7 +108,13 @@ def usage_metrics(activity: DataFrame, as_of, profile: str = FULL, approx_rsd: f
             X.mean_when(login >= recent_lo, dur).alias("recent_avg_session"),
             X.mean_when((login >= previous_lo) & (login < recent_lo), dur).alias("previous_avg_session"),
         ]
-    g = df.groupBy("customer_id").agg(*aggs)
+    # a day is a bit: the window's days fill three or four words, an exact count without expanding rows
+    first = dates.to_day(dates.months_before(as_of, C.USAGE_MONTHS))
+    at = F.date_diff(dates.to_day(login), first)
+    words = [F.bit_or(F.when(F.floor(at / 64) == w, F.call_function("shiftleft", F.lit(1).cast("long"), at % 64))).alias(f"_day_{w}")
+             for w in range(DAY_WORDS)]
+    active = sum((F.bit_count(F.coalesce(F.col(f"_day_{w}"), F.lit(0).cast("long"))) for w in range(DAY_WORDS)), F.lit(0))
+    g = df.groupBy("customer_id").agg(*aggs, *words).withColumn("active_days", active.cast("long"))
     out = [
         F.col("customer_id"),
         X.coalesce_zero(F.col("total_sessions")).alias("total_sessions"),

@@ -19,11 +19,12 @@ REPORT_COLUMNS = (
 
 
 def high_risk_report(customers: DataFrame, predictions: DataFrame, usage: DataFrame,
-                     financial: DataFrame, support: DataFrame, as_of,
-                     rank_col: str | None = "report_rank") -> DataFrame:
-    """Q8: latest prediction per customer, kept when it is 'High Risk' and the
-    customer is 'Active', with monthly value, tenure, recency, features used
-    and recent tickets; ordered by probability then value (both descending).
+                     financial: DataFrame, support: DataFrame, as_of) -> DataFrame:
+    """Q8: latest prediction per customer as of the clock (later ones are not
+    seen), kept when it is 'High Risk' and the customer is 'Active', with
+    monthly value, tenure, recency, features used and recent tickets; ordered
+    by probability then value (both descending). Lazy: ``rank_report`` numbers
+    the rows when the report is written.
 
     ``usage``/``financial``/``support`` are the outputs of Q2/Q3/Q4: the
     reference reads ``avg_monthly_revenue`` and ``tenure_days`` off
@@ -31,7 +32,7 @@ def high_risk_report(customers: DataFrame, predictions: DataFrame, usage: DataFr
     latest row is chosen (filtering first would pick an older High row).
     """
     clock = dates.as_of_literal(as_of)
-    lp = (latest_prediction(predictions)
+    lp = (latest_prediction(predictions, as_of=as_of)
           .where(F.col("risk_tier") == C.HIGH_RISK)
           .select("customer_id", F.col("churn_probability").cast("double").alias("churn_probability"),
                   "risk_tier"))
@@ -48,8 +49,11 @@ def high_risk_report(customers: DataFrame, predictions: DataFrame, usage: DataFr
               "customer_id", "left")
         .select(*REPORT_COLUMNS)
     )
-    if rank_col is None:
-        return report.orderBy(*report_order())
+    return report.orderBy(*report_order())
+
+
+def rank_report(report: DataFrame, rank_col: str = "report_rank") -> DataFrame:
+    """The report with each row's position (a distributed sort; runs jobs)."""
     return global_row_number(report, report_order(), rank_col)
 
 
@@ -82,15 +86,24 @@ def attach_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
                       *[F.col(f"_kw_scalar.{c}").alias(c) for c in cols])
 
 
+def features_used(activity: DataFrame, as_of, months: int = C.USAGE_MONTHS) -> DataFrame:
+    """Distinct (customer_id, feature_id) of the window: one scan, whose
+    exchange serves both the counts per customer and the number available."""
+    return activity.where(dates.in_window(F.col("login_date"), dates.months_before(as_of, months),
+                                          dates.as_of_literal(as_of))).select("customer_id", "feature_id").distinct()
+
+
+def features_available(used: DataFrame) -> DataFrame:
+    """One row: features used by anyone."""
+    return used.agg(F.countDistinct("feature_id").alias("features_available"))
+
+
 def feature_adoption_share(activity: DataFrame, as_of, months: int = C.USAGE_MONTHS) -> DataFrame:
     """Features used by a customer over features used by anyone in the
     same window."""
-    window = activity.where(dates.in_window(F.col("login_date"), dates.months_before(as_of, months),
-                                            dates.as_of_literal(as_of)))
-    per_customer = window.groupBy("customer_id").agg(
-        F.countDistinct("feature_id").alias("unique_features_used"))
-    available = window.agg(F.countDistinct("feature_id").alias("features_available"))
-    return attach_scalar(per_customer, available).select(
+    used = features_used(activity, as_of, months)
+    per_customer = used.groupBy("customer_id").agg(F.count("feature_id").alias("unique_features_used"))
+    return attach_scalar(per_customer, features_available(used)).select(
         "customer_id", "unique_features_used", "features_available",
         X.safe_ratio(F.col("unique_features_used"), F.col("features_available")).alias("adoption_share"),
     )

@@ -80,8 +80,10 @@ def size_shuffle_partitions(spark: SparkSession, paths, target_mb: int = 200,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) is a private folder created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    private folder is made if driver and executors are one process (a
+    ``local`` master, as in tests); on a cluster that is an error, since each
+    executor would write to a disk the others cannot see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -89,6 +91,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="keepwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -174,16 +174,21 @@ def test_approximate_distinct_counts_close(spark):
         assert approx[c]["avg_session_duration"] == r["avg_session_duration"]
 
 
-def test_clustered_write_keeps_rows_and_prunes(spark):
-    from keepwise.sources import tables as TB
-
-    inv = fx.invoices(spark, SF_SMALL)
-    path = TB.write_clustered(inv, TB.scratch_path(spark, "test-clustered"), ["invoice_date", "customer_id"],
-                              records_per_file=500)
-    back = spark.read.parquet(path)
-    assert back.exceptAll(inv).count() == 0 and inv.exceptAll(back).count() == 0
-    # every file covers a narrow, non-overlapping date range
-    ranges = (back.groupBy(F.input_file_name().alias("f"))
-              .agg(F.min("invoice_date").alias("lo"), F.max("invoice_date").alias("hi")).orderBy("lo").collect())
-    assert len(ranges) > 1
-    assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
+def test_active_days_against_a_plain_count(spark):
+    import datetime as dt
+
+    from keepwise.operators.features import usage_metrics
+    from keepwise.sources.tables import SCHEMAS
+
+    rows, want = [], {}
+    for c in range(6):
+        for k in range(0, 200, c + 1):
+            at = dt.datetime(2026, 5, 31) - dt.timedelta(hours=17 * k + c)
+            rows.append((c, f"s{k}", at, None, 1, "view", 1))
+            if dt.datetime(2025, 11, 30) <= at < dt.datetime(2026, 5, 31):
+                want.setdefault(c, set()).add(at.date())
+    rows.append((0, "edge", dt.datetime(2025, 11, 30), None, 1, "view", 1))  # first instant of the window
+    want[0].add(dt.date(2025, 11, 30))
+    df = spark.createDataFrame(rows, SCHEMAS["user_activity"])
+    got = {r["customer_id"]: r["active_days"] for r in usage_metrics(df, dt.datetime(2026, 5, 31)).collect()}
+    assert got == {c: len(d) for c, d in want.items()}

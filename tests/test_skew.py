@@ -91,7 +91,7 @@ def test_customer_aggregates_combine_before_shuffle(spark, skewed):
 
 
 def test_latest_prediction_with_hot_customer(spark):
-    rows = [(i, 7 if i % 3 == 0 else i, dt.date(2026, 1, 1) + dt.timedelta(days=i % 97), D("0.5000"),
+    rows = [(f"{i:05d}", 7 if i % 3 == 0 else i, dt.date(2026, 1, 1) + dt.timedelta(days=i % 97), D("0.5000"),
              "Medium Risk", "v1.0", None) for i in range(3000)]
     df = spark.createDataFrame(rows, SCHEMAS["churn_predictions"]).repartition(5)
     got = {r["customer_id"]: r["prediction_id"] for r in S.latest_prediction(df).collect()}
@@ -110,7 +110,7 @@ def test_global_row_number_splits_a_hot_key(spark):
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        ranked = ORD.global_row_number(df, [F.col("v").desc()], "r")
+        ranked = ORD.global_row_number(df, [F.col("v").desc(), F.col("id").asc()], "r")
     finally:
         spark.conf.set(key, before)
     got = ranked.select("r", "v").collect()
