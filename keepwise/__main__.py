@@ -22,8 +22,9 @@ def _session(args):
     from .session import build_session, size_shuffle_partitions
 
     spark = build_session(args.master)
-    if getattr(args, "src", None):
-        size_shuffle_partitions(spark, [args.src])
+    source = getattr(args, "src", None) or getattr(args, "features", None)
+    if source and not source.startswith("jdbc:"):
+        size_shuffle_partitions(spark, [source])
     return spark
 
 
@@ -36,7 +37,9 @@ def main(argv=None) -> int:
     ex.add_argument("--src", required=True)
     ex.add_argument("--out", required=True)
     ex.add_argument("--as-of", required=True)
-    ex.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ex.add_argument("--format", default="parquet", choices=["parquet", "csv", "jdbc"])
+    ex.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                    help="reader option, repeatable (a JDBC read needs its partitioning options)")
 
     tr = sub.add_parser("train", help="split, fit, cross-validate, evaluate, save")
     tr.add_argument("--features", required=True, help="CSV folder written by extract")
@@ -60,7 +63,7 @@ def main(argv=None) -> int:
 
     if args.cmd == "extract":
         as_of = dt.datetime.fromisoformat(args.as_of)
-        tabs = TB.load_tables(spark, args.src, fmt=args.format)
+        tabs = TB.load_tables(spark, args.src, fmt=args.format, options=dict(o.split("=", 1) for o in args.option))
         path, summary = jobs.extract_features(tabs, as_of, args.out)
         print(json.dumps({"path": path, **summary.first().asDict()}))
     elif args.cmd == "train":
@@ -72,13 +75,17 @@ def main(argv=None) -> int:
         feats = TB.read_csv(spark, args.features, schema)
         params = C.ForestParams(num_trees=args.trees, max_depth=args.depth)
         out = jobs.train_and_evaluate(feats, args.model, params, folds=args.folds)
-        print(json.dumps({"accuracy": out["accuracy"].first()["accuracy"],
-                          "roc_auc": out["roc_auc"].first()["roc_auc"]}))
+        shown = {"accuracy": out["accuracy"].first()["accuracy"], "roc_auc": out["roc_auc"].first()["roc_auc"]}
+        if "cross_validation" in out:
+            shown["cross_validation"] = out["cross_validation"].first().asDict()
+        print(json.dumps(shown))
     elif args.cmd == "score":
+        from .operators.reports import rank_report
+
         as_of = dt.datetime.fromisoformat(args.as_of)
         tabs = TB.load_tables(spark, args.src)
         report = jobs.daily_scoring(spark, tabs, args.model, args.store, as_of, args.model_version)
-        report.write.mode("overwrite").parquet(args.report)
+        rank_report(report).write.mode("overwrite").parquet(args.report)
         print(json.dumps({"report": args.report}))
     spark.stop()
     return 0

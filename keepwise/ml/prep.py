@@ -5,12 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.reports import attach_scalar
-from ..sources.fixtures import hash32
 
 TRAIN = "train"
 TEST = "test"
@@ -18,7 +16,7 @@ TEST = "test"
 
 def split_bucket(id_col: Column, seed: int) -> Column:
     """32-bit bucket of ``md5(id || ':' || seed)``; same on any partitioning."""
-    return hash32(F.concat(id_col.cast("string"), F.lit(f":{int(seed)}")))
+    return X.hash32(F.concat(id_col.cast("string"), F.lit(f":{int(seed)}")))
 
 
 def hash_split(df: DataFrame, id_col: str = "customer_id", fraction: float = 0.2, seed: int = 42,
@@ -34,18 +32,19 @@ def hash_split(df: DataFrame, id_col: str = "customer_id", fraction: float = 0.2
 
 
 def class_weights(df: DataFrame, label: str = "churned") -> DataFrame:
-    """M4: balanced weight per class, n / (k * n_c)."""
+    """M4: balanced weight per class, n / (k * n_c), in one pass: totals come
+    from the per-class rows (the window runs over one row per class)."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    tot = df.agg(F.count(F.lit(1)).alias("_total"), F.countDistinct(label).alias("_k"))
-    w = F.col("_total").cast("double") / (F.col("_k").cast("double") * F.col("n").cast("double"))
-    return attach_scalar(per, tot).select(F.col(label), F.col("n"), w.alias("weight"))
+    classes = Window.partitionBy(F.lit(1))
+    total, k = F.sum("n").over(classes), F.count(label).over(classes)
+    return per.select(F.col(label), F.col("n"),
+                      (total.cast("double") / (k.cast("double") * F.col("n").cast("double"))).alias("weight"))
 
 
 def add_class_weight(df: DataFrame, label: str = "churned", weight_col: str = "class_weight") -> DataFrame:
-    """Attach the balanced weight of each row's class (the weight table has
-    one row per class, so it is broadcast)."""
+    """Attach the balanced weight of each row's class."""
     w = class_weights(df, label).select(F.col(label), F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
 def split_class_balance(df: DataFrame, label: str = "churned", split_col: str = "split") -> DataFrame:
@@ -59,12 +58,16 @@ def split_class_balance(df: DataFrame, label: str = "churned", split_col: str =
 
 def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """M3: mean and sample standard deviation per column, the statistics a
-    ``StandardScaler(withMean=True, withStd=True)`` fitted on ``df`` uses.
-    One aggregation pass for all columns, then one row per column."""
+    ``StandardScaler(withMean=True, withStd=True)`` fitted on ``df`` uses, from
+    decimal sums of the values (to four places) and their squares, so they do
+    not depend on the order of the rows. One aggregation pass for all columns,
+    then one row per column."""
     aggs = []
     for c in cols:
-        v = F.col(c).cast("double")
-        aggs += [F.avg(v).alias(f"{c}__mean"), F.stddev_samp(v).alias(f"{c}__std")]
+        v = F.col(c).cast("decimal(18,4)")
+        n, x, xx = (a.cast("double") for a in (F.count(c), F.sum(v), F.sum(v * v)))
+        spread = F.greatest(xx - x * (x / n), F.lit(0.0))
+        aggs += [(x / n).alias(f"{c}__mean"), F.when(n > 1, F.sqrt(spread / (n - F.lit(1.0)))).alias(f"{c}__std")]
     wide = df.agg(*aggs)
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"))

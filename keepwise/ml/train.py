@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import exprs as X
-from ..sources.fixtures import hash32
+from ..sources.tables import scratch_path
 from .prep import add_class_weight
 
 LABEL = "churned"
@@ -34,15 +34,12 @@ RAW = "raw_features"
 FEATURES = "features"
 
 
-def feature_columns(df: DataFrame, exclude: Sequence[str] = C.EXCLUDED_FEATURE_COLUMNS,
-                    categorical: Sequence[str] = C.CATEGORICAL_FEATURE_COLUMNS) -> tuple[list[str], list[str]]:
+def feature_columns(df: DataFrame, exclude: Sequence[str] = C.EXCLUDED_FEATURE_COLUMNS) -> tuple[list[str], list[str]]:
     """(numeric, categorical) model inputs: every column not excluded; the
-    string columns are the categorical ones."""
-    keep = X.select_excluding(df, exclude)
-    numeric = X.numeric_columns(keep)
-    cats = [f.name for f in keep.schema.fields
-            if isinstance(f.dataType, T.StringType) and (not categorical or f.name in categorical)]
-    return [c for c in numeric if c not in (WEIGHT, "split", "fold")], cats
+    string columns are the categorical ones, whichever they are."""
+    own = (WEIGHT, "split", "fold")
+    keep = X.select_excluding(df, [*exclude, *own])
+    return X.numeric_columns(keep), [f.name for f in keep.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
 def encode_stages(cat_cols: Sequence[str]) -> list:
@@ -59,10 +56,11 @@ def encode_stages(cat_cols: Sequence[str]) -> list:
 
 def scaler_stages(numeric_cols: Sequence[str], cat_cols: Sequence[str]) -> list:
     """M3: assemble numeric and one-hot columns, then standardise (mean and
-    sample std from the training rows only)."""
+    sample std from the training rows only). Numeric NULLs are filled before
+    (``filled``); one that got through would make its column NaN, so it fails."""
     inputs = list(numeric_cols) + [f"{c}__vec" for c in cat_cols]
     return [
-        VectorAssembler(inputCols=inputs, outputCol=RAW, handleInvalid="keep"),
+        VectorAssembler(inputCols=inputs, outputCol=RAW, handleInvalid="error"),
         StandardScaler(inputCol=RAW, outputCol=FEATURES, withMean=True, withStd=True),
     ]
 
@@ -92,15 +90,33 @@ def build_pipeline(numeric_cols, cat_cols, params: C.ForestParams = C.ForestPara
                     + [forest(params, label, weight)])
 
 
+def filled(df: DataFrame) -> DataFrame:
+    """Numeric model inputs without NULLs, for fitting and scoring alike (0, as
+    the reference fills them). A NULL string falls into the encoder's slot for
+    unknown values."""
+    num, _ = feature_columns(df)
+    return df.na.fill(0, subset=num) if num else df
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared scratch folder and read back, so that the
+    passes of a fit read prepared rows instead of the raw tables."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def prepare_training(df: DataFrame, label: str = LABEL, id_col: str = "customer_id",
                      params: C.ForestParams = C.ForestParams()) -> DataFrame:
-    """Label as double, balanced weights, and a stable layout (hash
-    partitioned and sorted by id) so a seeded fit is repeatable."""
-    out = df.withColumn(label, F.col(label).cast("double"))
+    """Filled features, label as double, balanced weights, and a stable layout
+    (hash partitioned and sorted by id) so a seeded fit is repeatable. The
+    input is evaluated once: weights and every pass of the fit read the rows
+    written here."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = materialised(filled(df).withColumn(label, F.col(label).cast("double")), "training")
     if params.class_weight_balanced:
         out = add_class_weight(out, label, WEIGHT)
-    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return out.repartition(int(n), id_col).sortWithinPartitions(id_col)
+    return out.repartition(n, id_col).sortWithinPartitions(id_col)
 
 
 def train(df: DataFrame, params: C.ForestParams = C.ForestParams(), label: str = LABEL,
@@ -117,17 +133,18 @@ def score(model: PipelineModel, df: DataFrame, probability_col: str = "churn_pro
           keep: Sequence[str] | None = ("customer_id",), spread_key: str | None = "customer_id",
           partitions: int | None = None) -> DataFrame:
     """M7: class and positive-class probability for every row, as plain
-    columns (the model's vectors are dropped).
+    columns (the model's vectors are dropped). NULL inputs are filled as in
+    training.
 
     Scoring costs CPU per row (every tree is walked), while AQE sizes
     partitions by bytes: a feature table of millions of narrow rows ends up
     in a handful of partitions. Rows are therefore hash-spread on
     ``spread_key`` (unique per row, so balanced) over ``partitions`` (default:
-    twice the cluster's cores) before the model runs."""
+    the session's shuffle partitions, which are sized to the data)."""
     if spread_key and spread_key in df.columns:
-        n = partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(n, spread_key)
-    out = model.transform(df)
+    out = model.transform(filled(df))
     cols = list(keep) if keep is not None else list(df.columns)
     return out.select(*cols, vector_to_array(F.col("probability"))[1].alias(probability_col),
                       F.col("prediction").cast("int").alias("prediction"))
@@ -138,8 +155,9 @@ def cross_validate(df: DataFrame, params: C.ForestParams = C.ForestParams(), fol
     """M6: k-fold cross-validated ROC-AUC of the whole pipeline; folds come
     from a hash of the id, so they are repeatable and need no sort."""
     num, cats = feature_columns(df)
-    data = prepare_training(df, label, id_col, params).withColumn(
-        "fold", (hash32(F.concat(F.col(id_col).cast("string"), F.lit(":fold"))) % folds).cast("int"))
+    # written with weights and folds: every fold's fits and evaluations read these rows
+    data = materialised(prepare_training(df, label, id_col, params).withColumn(
+        "fold", (X.hash32(F.concat(F.col(id_col).cast("string"), F.lit(":fold"))) % folds).cast("int")), "folds")
     pipe = build_pipeline(num, cats, params, label)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                        metricName="areaUnderROC")
@@ -182,16 +200,31 @@ def feature_importance(model: PipelineModel, df: DataFrame, top_n: int | None =
 
 
 def save_model(model: PipelineModel, path: str, metrics: dict | None = None,
-               params: C.ForestParams | None = None, training_date: str | None = None) -> str:
-    """The pipeline directory plus a one-row Parquet side table with the
-    metrics, parameters and training date (no pickle: loading runs no code)."""
+               params: C.ForestParams | None = None, training_date: str | None = None,
+               tables: dict[str, DataFrame] | None = None) -> str:
+    """The pipeline folder, a one-row Parquet table with scalar metrics,
+    parameters and training date, and one Parquet table per entry of ``tables``
+    (confusion matrix, report, cross-validation, importances, ...). No pickle:
+    loading runs no code."""
     model.write().overwrite().save(f"{path}/pipeline")
-    spark = SparkSession.getActiveSession()
-    info = [(json.dumps(metrics or {}), json.dumps(asdict(params) if params else {}), training_date or "")]
-    spark.createDataFrame(info, "metrics string, params string, training_date string") \
+    spark = (next(iter(tables.values())).sparkSession if tables else SparkSession.active())
+    info = [(json.dumps(metrics or {}), json.dumps(asdict(params) if params else {}), training_date or "",
+             json.dumps(sorted(tables or {})))]
+    spark.createDataFrame(info, "metrics string, params string, training_date string, tables string") \
         .write.mode("overwrite").parquet(f"{path}/info")
+    for name, df in (tables or {}).items():
+        df.write.mode("overwrite").parquet(f"{path}/tables/{name}")
     return path
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/pipeline")
+
+
+def load_artifact(spark: SparkSession, path: str) -> dict:
+    """Everything ``save_model`` stored: model, metrics, params, training_date
+    and the tables by name."""
+    info = spark.read.parquet(f"{path}/info").first()
+    return {"model": load_model(path), "metrics": json.loads(info["metrics"]),
+            "params": C.ForestParams(**json.loads(info["params"])), "training_date": info["training_date"],
+            "tables": {n: spark.read.parquet(f"{path}/tables/{n}") for n in json.loads(info["tables"])}}

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import exprs as X
 from ..ml import evaluate as EVAL
 from ..ml import prep as P
 from ..ml import train as ML
@@ -47,17 +48,19 @@ def train_and_evaluate(features: DataFrame, model_dir: str, params: C.ForestPara
                        label: str = "churned") -> dict[str, DataFrame]:
     """Fit on the training split, cross-validate, evaluate on the test split
     and save the model with its metrics. Returns the metric tables."""
-    data = P.hash_split(features, "customer_id", split.test_fraction, split.seed)
+    data = ML.materialised(P.hash_split(features, "customer_id", split.test_fraction, split.seed), "split")
     train = data.where(F.col("split") == P.TRAIN).drop("split")
     test = data.where(F.col("split") == P.TEST).drop("split")
     model = ML.train(train, params, label)
-    scored = ML.score(model, test, keep=("customer_id", label)).withColumnRenamed(label, "label")
+    scored = ML.materialised(
+        ML.score(model, test, keep=("customer_id", label)).withColumnRenamed(label, "label"), "scored")
+    cols = {"probability": "churn_probability", "prediction": "prediction"}  # the model's own class
     out = {
         "class_balance": P.split_class_balance(data, label),
-        "accuracy": EVAL.accuracy(scored, probability="churn_probability"),
+        "accuracy": EVAL.accuracy(scored, **cols),
         "roc_auc": EVAL.roc_auc(scored, probability="churn_probability"),
-        "confusion_matrix": EVAL.confusion_matrix(scored, probability="churn_probability"),
-        "classification_report": EVAL.classification_report(scored, probability="churn_probability"),
+        "confusion_matrix": EVAL.confusion_matrix(scored, **cols),
+        "classification_report": EVAL.classification_report(scored, **cols),
         "roc_curve": EVAL.roc_curve(scored, probability="churn_probability"),
         "feature_importance": ML.feature_importance(model, train),
     }
@@ -67,7 +70,7 @@ def train_and_evaluate(features: DataFrame, model_dir: str, params: C.ForestPara
         "accuracy": out["accuracy"].first()["accuracy"],
         "roc_auc": out["roc_auc"].first()["roc_auc"],
     }
-    ML.save_model(model, model_dir, metrics=metrics, params=params,
+    ML.save_model(model, model_dir, metrics=metrics, params=params, tables=out,
                   training_date=dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
     TB.write_csv(out["feature_importance"], f"{model_dir}/feature_importance")
     return out
@@ -75,20 +78,26 @@ def train_and_evaluate(features: DataFrame, model_dir: str, params: C.ForestPara
 
 def daily_scoring(spark: SparkSession, tables: dict[str, DataFrame], model: PipelineModel | str,
                   store_path: str, as_of, model_version: str = C.DEFAULT_MODEL_VERSION,
-                  clocks: FT.Clocks | None = None) -> DataFrame:
-    """Score every customer of the base at ``as_of``, append the rows to the
-    prediction store and return the high-risk report over the store."""
+                  clocks: FT.Clocks | None = None, created_at=None) -> DataFrame:
+    """Score every customer of the base at ``as_of``, add the rows to the
+    prediction store and return the high-risk report over the store.
+
+    A repeated run of the same day and version replaces its own rows. The three
+    fact tables are aggregated once: the sets are written, and both the feature
+    table and the report read them."""
     if isinstance(model, str):
         model = ML.load_model(model)
     clocks = clocks or FT.Clocks.single(as_of)
-    feats = FT.build_features(tables, clocks, FT.CORE)
-    rows = S.prediction_rows(ML.score(model, feats), as_of=as_of, model_version=model_version)
-    TB.append_predictions(rows, store_path)
+    sets = {
+        "usage": ML.materialised(FT.usage_metrics(tables["user_activity"], clocks.activity, FT.CORE), "usage"),
+        "financial": ML.materialised(FT.financial_metrics(tables["invoices"], clocks.invoices, FT.CORE), "financial"),
+        "support": ML.materialised(FT.support_metrics(tables["support_tickets"], clocks.tickets, FT.CORE), "support"),
+    }
+    feats = X.fill_numeric_nulls(FT.merge_feature_sets(
+        FT.customer_base(tables["customers"], clocks.customers, FT.CORE), *sets.values(),
+        FT.marketing_metrics(tables["marketing_engagement"], clocks.marketing, FT.CORE)))
+    rows = S.prediction_rows(ML.score(model, feats), as_of=as_of, model_version=model_version, created_at=created_at)
+    TB.append_predictions(rows, store_path, run_id=f"daily-{FT.as_datetime(as_of):%Y%m%d}-{model_version}")
     preds = TB.read_predictions(spark, store_path)
-    return R.high_risk_report(
-        tables["customers"], preds,
-        FT.usage_metrics(tables["user_activity"], clocks.activity, FT.FULL),
-        FT.financial_metrics(tables["invoices"], clocks.invoices, FT.FULL),
-        FT.support_metrics(tables["support_tickets"], clocks.tickets, FT.FULL),
-        clocks.customers,
-    )
+    return R.high_risk_report(tables["customers"], preds, sets["usage"], sets["financial"], sets["support"],
+                              clocks.customers)

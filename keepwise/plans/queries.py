@@ -97,14 +97,14 @@ def merged_features_full(spark, d):
 
 
 def high_risk_report(spark, d):
-    return R.high_risk_report(
+    return R.rank_report(R.high_risk_report(
         fx.customers(spark, d),
         fx.churn_predictions(spark, d),
         FT.usage_metrics(fx.user_activity(spark, d), AS_OF_E, FT.FULL),
         FT.financial_metrics(fx.invoices(spark, d), AS_OF_O, FT.FULL),
         FT.support_metrics(tickets_for_window(spark, d), AS_OF_O, FT.FULL),
         AS_OF_O,
-    )
+    ))
 
 
 QUERIES: dict[str, QueryFn] = {

@@ -38,15 +38,15 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame], as_of, pre
     views["customer_features"] = FT.build_features(tables, clocks, FT.CORE)
     if predictions is not None:
         views["churn_predictions"] = predictions
-        views["latest_predictions"] = S.latest_prediction(predictions)
+        views["latest_predictions"] = S.latest_prediction(predictions, as_of=clocks.customers)
         full = {
             "usage": FT.usage_metrics(tables["user_activity"], clocks.activity, FT.FULL),
             "financial": FT.financial_metrics(tables["invoices"], clocks.invoices, FT.FULL),
             "support": FT.support_metrics(tables["support_tickets"], clocks.tickets, FT.FULL),
         }
-        views["high_risk_report"] = R.high_risk_report(
-            tables["customers"], predictions, full["usage"], full["financial"], full["support"],
-            clocks.customers, rank_col="report_rank" if with_rank else None)
+        report = R.high_risk_report(tables["customers"], predictions, full["usage"], full["financial"],
+                                    full["support"], clocks.customers)
+        views["high_risk_report"] = R.rank_report(report) if with_rank else report
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)

@@ -59,7 +59,7 @@ SCHEMAS: dict[str, T.StructType] = {
         T.StructField("campaign_id", T.IntegerType()),
     ]),
     "churn_predictions": T.StructType([
-        T.StructField("prediction_id", T.LongType()),
+        T.StructField("prediction_id", T.StringType()),
         T.StructField("customer_id", T.LongType()),
         T.StructField("prediction_date", T.DateType()),
         T.StructField("churn_probability", T.DecimalType(5, 4)),
@@ -68,6 +68,7 @@ SCHEMAS: dict[str, T.StructType] = {
         T.StructField("created_at", T.TimestampNTZType()),
     ]),
 }
+JDBC_SPLIT = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 BASE_TABLES = ("customers", "user_activity", "invoices", "support_tickets", "marketing_engagement")
 
 
@@ -77,10 +78,14 @@ def load_tables(spark: SparkSession, src: str, names=BASE_TABLES, fmt: str = "pa
 
     Parquet is read with its own schema and projected onto the declared one
     (so a missing column fails early). ``fmt="jdbc"`` reads ``<name>`` from
-    the database at ``src`` (a JDBC URL); pass ``partitionColumn``,
-    ``lowerBound``, ``upperBound`` and ``numPartitions`` in ``options`` so
-    the read is split across tasks instead of one connection."""
+    the database at ``src`` (a JDBC URL); ``options`` must hold
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``:
+    without them the whole table would come through one connection and task."""
     out = {}
+    if fmt == "jdbc":
+        missing = [k for k in JDBC_SPLIT if k not in (options or {})]
+        if missing:
+            raise ValueError(f"a JDBC read must be split: options lack {', '.join(missing)}")
     for name in names:
         schema = SCHEMAS[name]
         if fmt == "jdbc":
@@ -116,42 +121,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_clustered(df: DataFrame, path: str, sort_cols, partition_cols=(), mode: str = "overwrite",
-                    records_per_file: int | None = None) -> str:
-    """Write a fact table laid out for date-range reads (the counterpart of
-    the reference's customer/date indexes).
-
-    Rows are range-partitioned and sorted on ``sort_cols`` (typically the
-    date, then the customer), so each file and row group covers a narrow
-    date range and Parquet min/max statistics let a pushed-down date filter
-    skip most of them. ``partition_cols`` adds folder pruning on top."""
-    cols = list(sort_cols)
-    out = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-    writer = out.write.mode(mode)
-    if records_per_file:
-        writer = writer.option("maxRecordsPerFile", records_per_file)
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
-    return path
-
-
-def append_predictions(rows: DataFrame, path: str, idempotent: bool = True) -> str:
+def append_predictions(rows: DataFrame, path: str, run_id: str | None = None) -> str:
     """Add prediction rows to the store, partitioned by date and model
     version so a report over recent days prunes whole folders.
 
-    With ``idempotent=True`` (default) the write replaces only the
-    (date, version) partitions present in ``rows`` (dynamic partition
-    overwrite): re-running a day after a failure, or twice, leaves exactly one
-    copy of that day's scores, and other days and versions are untouched.
-    ``idempotent=False`` is a plain append, as the reference's INSERT."""
+    Rows are appended, as by the reference's INSERT. With a ``run_id`` (a batch
+    or stream batch that may be repeated after a failure) they replace what
+    the same run wrote before and nothing else: the run is a partition below
+    date and version, overwritten dynamically."""
     cols = [f.name for f in SCHEMAS["churn_predictions"].fields]
-    writer = rows.select(*cols).write.partitionBy("prediction_date", "model_version")
-    if idempotent:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.parquet(path)
+    (rows.select(*cols, F.lit(run_id or uuid.uuid4().hex).alias("run_id"))
+     .write.partitionBy("prediction_date", "model_version", "run_id")
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
     return path
 
 
