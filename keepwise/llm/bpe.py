@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from .common import ready_workers
 
 #: Bytes of text in a block (about), and buckets at most.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 20_000_000
 MAX_BUCKETS = 1024
+#: zstd level of the lists: they are written once and read once.
+LEVEL = 9
 
 
 class WordTokenizer:
@@ -49,7 +51,7 @@ class WordTokenizer:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.pieces = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
-        self.dtype = "<u2" if size <= 1 << 16 else "<u4"
+        self.dtype, self.width = ("<u2", 2) if size <= 1 << 16 else ("<u4", 4)
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, packed."""
@@ -80,17 +82,21 @@ def bucketed(words: set[bytes], buckets: int) -> dict[int, list[bytes]]:
     return out
 
 
-def _packed(parts: list[bytes]) -> bytes:
-    """Length of each part and the parts, compressed."""
-    lengths = np.array([len(p) for p in parts], dtype="<u4").tobytes()
-    return zstandard.ZstdCompressor(3).compress(lengths + b"".join(parts))
+def _packed(parts: list[bytes], width: int) -> bytes:
+    """Number of ids of each part (two bytes; long ones in eight behind) and the parts, compressed."""
+    counts = np.array([len(p) // width for p in parts], dtype=np.int64)
+    long = counts[counts >= 0xFFFF]
+    head = np.minimum(counts, 0xFFFF).astype("<u2").tobytes() + long.astype("<i8").tobytes()
+    return zstandard.ZstdCompressor(LEVEL).compress(head + b"".join(parts))
 
 
-def _unpacked(data: bytes, n: int) -> list[bytes]:
+def _unpacked(data: bytes, n: int, width: int) -> list[bytes]:
     raw = zstandard.ZstdDecompressor().decompress(data)
-    ends = np.cumsum(np.frombuffer(raw[: 4 * n], dtype="<u4"), dtype=np.int64) + 4 * n
-    starts = np.concatenate([[4 * n], ends[:-1]])
-    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    counts = np.frombuffer(raw[: 2 * n], dtype="<u2").astype(np.int64)
+    long = np.flatnonzero(counts == 0xFFFF)
+    counts[long] = np.frombuffer(raw[2 * n : 2 * n + 8 * len(long)], dtype="<i8")
+    edges = np.concatenate([[0], np.cumsum(counts * width)]) + 2 * n + 8 * len(long)
+    return [raw[i:j] for i, j in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False,
@@ -119,7 +125,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False,
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(lists), pa.int64()), pa.array(list(lists), pa.int32()),
                  pa.array([len(x) for x in lists.values()], pa.int64()),
-                 pa.array([zstandard.ZstdCompressor(3).compress(b" ".join(x)) for x in lists.values()], pa.binary())],
+                 pa.array([zstandard.ZstdCompressor(LEVEL).compress(b" ".join(x)) for x in lists.values()], pa.binary())],
                 names=["block", "bucket", "n", "words"])
 
     def encode_lists(batches):
@@ -131,25 +137,28 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False,
                 words = zstandard.ZstdDecompressor().decompress(data).split()
                 new = [w for w in words if w not in known]
                 known.update(zip(new, model.encode(new)))
-                made.append(_packed([known[w] for w in words]))
+                made.append(_packed([known[w] for w in words], model.width))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())],
                                              names=["own_block", "bucket", "n", "ids"])
 
     def join_back(texts: pa.Table, lists: pa.Table) -> pa.Table:
         model = word_tokenizer(tokenizer)
-        split = [split_words(t) for t in texts.column("text").to_pylist()]
-        mine = bucketed({w for words in split for w in words}, buckets)
+        distinct: set[bytes] = set()
+        for text in texts.column("text"):  # split again below: the words of a block are many times its text in memory
+            distinct.update(split_words(text.as_py()))
+        mine = bucketed(distinct, buckets)
         numbers: dict[bytes, str] = {}
         pieces: dict[bytes, str] = {}
         for bucket, data in zip(lists.column("bucket").to_pylist(), lists.column("ids").to_pylist()):
             words = mine[bucket]
-            for word, packed in zip(words, _unpacked(data, len(words))):
+            for word, packed in zip(words, _unpacked(data, len(words), model.width)):
                 ids = np.frombuffer(packed, dtype=model.dtype).tolist()
                 numbers[word] = " ".join([model.numbers[i] for i in ids])
                 pieces[word] = " ".join([model.pieces[i] for i in ids])
         silent = {w for w, ids in numbers.items() if not ids}
         out: list[list] = [[] for _ in range(5)]
-        for words in split:
+        for text in texts.column("text"):
+            words = split_words(text.as_py())
             if silent:
                 words = [w for w in words if w not in silent]
             ids, decoded = " ".join(map(numbers.__getitem__, words)), " ".join(map(pieces.__getitem__, words))

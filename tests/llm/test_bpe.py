@@ -60,5 +60,5 @@ def test_each_distinct_word_is_in_one_bucket():
     listed = bpe.bucketed(words, 7)
     assert sorted(w for ws in listed.values() for w in ws) == sorted(words)
     assert all(ws == sorted(ws) for ws in listed.values())
-    parts = [b"", b"ab", b"c" * 300, b""]
-    assert bpe._unpacked(bpe._packed(parts), 4) == parts and bpe._unpacked(bpe._packed([]), 0) == []
+    parts = [b"", b"ab", b"cd" * 70_000, b"", b"ef" * 3]
+    assert bpe._unpacked(bpe._packed(parts, 2), 5, 2) == parts and bpe._unpacked(bpe._packed([], 2), 0, 2) == []
