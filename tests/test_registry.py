@@ -94,6 +94,13 @@ def test_windows_only_over_bounded_inputs(spark, key):
         assert set(over) == {"_kw_pid"}, plan
 
 
+def test_adoption_share_scans_activity_once(spark):
+    df = QUERIES["feature_adoption_share"](spark, SF_SMALL)
+    df.collect()
+    final = physical(df).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_tier_counts_sum_to_customers(spark):
     tiers = QUERIES["tier_segments"](spark, SF_SMALL).agg({"customers": "sum"}).first()[0]
     latest = QUERIES["latest_prediction"](spark, SF_SMALL).count()
