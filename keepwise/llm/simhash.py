@@ -155,7 +155,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     without doc_id cannot be told apart by it and are all kept."""
     marked = components(fingerprints(docs))
     ids = materialise(marked.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    kept = docs.join(ids.select(F.col("doc_id").alias("keepwise_keep_id")), F.col("doc_id") == F.col("keepwise_keep_id"), "left_semi")
+    # the kept ids grow with the documents: never a broadcast
+    named = ids.select(F.col("doc_id").alias("keepwise_keep_id")).hint("merge")
+    kept = docs.join(named, F.col("doc_id") == F.col("keepwise_keep_id"), "left_semi")
     if ids.where("count > 1").head(1):
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
