@@ -407,11 +407,6 @@ def _train_model(spark, d, params: C.ForestParams = C.ForestParams()):
     return ML.train(_split(spark, d).where(F.col("split") == P.TRAIN), params)
 
 
-#: The registered queries fit a smaller forest than the production parameters (``bench.py`` times those):
-#: each checks an operator around the model, not the model's size.
-QUERY_FOREST = C.ForestParams(num_trees=20, max_depth=6)
-
-
 @register("train_forest", f"SELECT {C.ForestParams().num_trees}::BIGINT AS trees, TRUE AS depth_in_bounds")
 def train_forest(spark, d):
     trees = _train_model(spark, d).stages[-1].trees
@@ -423,7 +418,7 @@ def train_forest(spark, d):
 @register("cross_validated_auc", "SELECT 'roc_auc' AS metric, 5 AS folds, TRUE AS mean_in_range, TRUE AS bounds_match")
 def cross_validated_auc(spark, d):
     train = _split(spark, d).where(F.col("split") == P.TRAIN)
-    cv = ML.cross_validate(train, QUERY_FOREST, folds=5)
+    cv = ML.cross_validate(train, folds=5)
     mid = (F.col("lower") + F.col("upper")) / 2
     return cv.select("metric", "folds", F.col("mean").between(0, 1).alias("mean_in_range"),
                      (F.abs(mid - F.col("mean")) < 1e-12).alias("bounds_match"))
@@ -433,7 +428,7 @@ def cross_validated_auc(spark, d):
                                       "TRUE AS class_agrees FROM split WHERE split = 'test'")
 def score_batch(spark, d):
     test = _split(spark, d).where(F.col("split") == P.TEST)
-    scored = ML.score(_train_model(spark, d, QUERY_FOREST), test)
+    scored = ML.score(_train_model(spark, d), test)
     p = F.col("churn_probability")
     # the class is the larger of two probabilities, the first one on a tie
     return scored.withColumn("risk_tier", X.risk_tier(p)).select(
@@ -449,13 +444,13 @@ def _tier_agrees(p, tier):
 def model_save_load(spark, d):
     """Every customer scored by the model and by its saved and loaded copy; a
     stored table comes back with it."""
-    model, data = _train_model(spark, d, QUERY_FOREST), ML.materialised(_merged(spark, d), "features")
+    model, data = _train_model(spark, d), ML.materialised(_merged(spark, d), "features")
     path = TB.scratch_path(spark, "model")
     importance = ML.feature_importance(model, data)
-    ML.save_model(model, path, metrics={"auc": 0.5}, params=QUERY_FOREST, tables={"feature_importance": importance},
+    ML.save_model(model, path, metrics={"auc": 0.5}, params=C.ForestParams(), tables={"feature_importance": importance},
                   training_date=dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
     kept = ML.load_artifact(spark, path)
-    same = (kept["params"] == QUERY_FOREST and kept["metrics"] == {"auc": 0.5}
+    same = (kept["params"] == C.ForestParams() and kept["metrics"] == {"auc": 0.5}
             and sorted(kept["tables"]["feature_importance"].collect()) == sorted(importance.collect()))
     a = ML.score(model, data).select("customer_id", F.col("churn_probability").alias("p_before"))
     b = ML.score(kept["model"], data).select("customer_id", F.col("churn_probability").alias("p_after"))
@@ -467,7 +462,7 @@ def model_save_load(spark, d):
     f"SELECT '{c}' AS feature, TRUE AS sums_to_one" for c in [*SCALER_COLUMNS, *_CODES]))
 def feature_importance(spark, d):
     data = _merged(spark, d)
-    imp = ML.feature_importance(_train_model(spark, d, QUERY_FOREST), data)
+    imp = ML.feature_importance(_train_model(spark, d), data)
     path = TB.write_csv(imp, TB.scratch_path(spark, "importance"))
     back = TB.read_csv(spark, path, imp.schema)
     total = back.agg(F.sum("importance").alias("total"))
@@ -481,7 +476,7 @@ def stream_scoring(spark, d):
     """The whole feature table arrives as files; the stream scores them into
     the store, which must hold what scoring in batch gives."""
     data = ML.materialised(_merged(spark, d), "features")
-    model = _train_model(spark, d, QUERY_FOREST)
+    model = _train_model(spark, d)
     base = TB.scratch_path(spark, "stream")
     in_dir, out_dir, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     data.repartition("customer_id").write.parquet(in_dir)
@@ -508,7 +503,7 @@ def daily_scoring(spark, d):
 
     tables = fixture_feature_tables(spark, d)
     store = TB.scratch_path(spark, "daily")
-    report = jobs.daily_scoring(spark, tables, _train_model(spark, d, QUERY_FOREST), store, AS_OF_O, clocks=FIXTURE_CLOCKS,
+    report = jobs.daily_scoring(spark, tables, _train_model(spark, d), store, AS_OF_O, clocks=FIXTURE_CLOCKS,
                                 created_at=AS_OF_O)
     listed = report.select(F.col("customer_id").alias("listed_id"))
     rows = TB.read_predictions(spark, store).join(

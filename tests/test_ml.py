@@ -307,3 +307,23 @@ def test_seeded_forest_is_repeatable(spark, planted):
         "customer_id", F.col("churn_probability").alias("b"))
     j = a.join(b, "customer_id")
     assert j.count() == planted.count() and j.where("a <> b").count() == 0
+
+
+@pytest.mark.parametrize("key", ["train_forest", "cross_validated_auc", "score_batch", "model_save_load", "feature_importance",
+                                 "stream_scoring", "daily_scoring"])
+def test_model_queries_fit_the_reference_forest(spark, monkeypatch, key):
+    from keepwise.plans import analytics as A
+
+    from .conftest import SF_SMALL
+
+    class Fitted(Exception):
+        pass
+
+    def fit(df, params=C.ForestParams(), **kwargs):
+        raise Fitted(params.num_trees, params.max_depth)
+
+    monkeypatch.setattr(ML, "train", fit)
+    monkeypatch.setattr(ML, "cross_validate", fit)
+    with pytest.raises(Fitted) as seen:
+        A.QUERIES[key](spark, SF_SMALL)
+    assert seen.value.args == (200, 15)
