@@ -140,12 +140,28 @@ def parse(page: str) -> Element:
 
 
 # A wrapper item is a list: label, optional, repeated, children (None for a text),
-# digest of the text ("" once it is a slot), characters, characters outside links.
-LABEL, OPTIONAL, REPEATED, CHILDREN, DIGEST, CHARS, PROSE = range(7)
+# digest of the text ("" once it is a slot), characters, characters outside links,
+# digest of all texts a page has here ("" once two pages differ), digest of the page ("" if seen on different ones).
+LABEL, OPTIONAL, REPEATED, CHILDREN, DIGEST, CHARS, PROSE, HERE, PAGE = range(9)
 
 
-def wrapper_of(element: Element) -> list:
+def _digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def _stream(element: Element, out: list[str]) -> list[str]:
+    for child in element.children:
+        if isinstance(child, tuple):
+            out.append(child[0])
+        else:
+            out.append(f"<{child.label}>")
+            _stream(child, out)
+    return out
+
+
+def wrapper_of(element: Element, page: str = "") -> list:
     """The wrapper of one page or element: its own stream with runs folded."""
+    page = page or _digest("".join(_stream(element, [])))
     items, text, prose = [], [], 0
     for child in [*element.children, None]:
         if isinstance(child, tuple):
@@ -154,12 +170,12 @@ def wrapper_of(element: Element) -> list:
             continue
         own = "".join(text).strip()
         if own:
-            items.append(["#", 0, 0, None, blake2b(own.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest(),
-                          len(own), min(prose, len(own))])
+            made = _digest(own)
+            items.append(["#", 0, 0, None, made, len(own), min(prose, len(own)), made, page])
         text, prose = [], 0
         if child is not None:
-            items.append(wrapper_of(child))
-    return [element.label, 0, 0, fold(items), "", 0, 0]
+            items.append(wrapper_of(child, page))
+    return [element.label, 0, 0, fold(items), "", 0, 0, "", ""]
 
 
 def fold(items: list) -> list:
@@ -173,26 +189,29 @@ def fold(items: list) -> list:
                 continue
             if len(a) == width and [x[LABEL] for x in a] == [x[LABEL] for x in b] and (
                     width == 1 or any(x[CHILDREN] is not None for x in a)):
-                out[-2 * width :] = [x if x is y else [*merge(x, y)[:REPEATED], 1, *merge(x, y)[CHILDREN:]]
-                                     for x, y in zip(a, b)]
+                both = [merge(x, y, siblings=True) for x, y in zip(a, b)]
+                out[-2 * width :] = [[*x[:REPEATED], 1, *x[CHILDREN:]] for x in both]
                 break
     return out
 
 
-def merge(a: list, b: list) -> list:
-    """Align two wrapper items of equal label."""
+def merge(a: list, b: list, siblings: bool = False) -> list:
+    """Align two wrapper items of equal label, of different pages or ``siblings``
+    in the same pages: differing siblings are no sign that the text varies."""
     flags = [a[LABEL], a[OPTIONAL] | b[OPTIONAL], a[REPEATED] | b[REPEATED]]
     if a[CHILDREN] is None:
         same = a[DIGEST] if a[DIGEST] == b[DIGEST] else ""
-        return [*flags, None, same, a[CHARS] + b[CHARS], a[PROSE] + b[PROSE]]
-    return [*flags, align(a[CHILDREN], b[CHILDREN]), "", 0, 0]
+        here = a[HERE] if a[HERE] == b[HERE] else _digest(a[HERE] + b[HERE]) if siblings and a[HERE] and b[HERE] else ""
+        page = a[PAGE] if a[PAGE] == b[PAGE] else ""
+        return [*flags, None, same, a[CHARS] + b[CHARS], a[PROSE] + b[PROSE], here, page]
+    return [*flags, align(a[CHILDREN], b[CHILDREN], siblings), "", 0, 0, "", ""]
 
 
-def align(a: list, b: list) -> list:
+def align(a: list, b: list, siblings: bool = False) -> list:
     """Longest common subsequence of the labels; matched items are merged,
     others become optional, and what then repeats is folded."""
     if [x[LABEL] for x in a] == [x[LABEL] for x in b]:
-        return [merge(x, y) for x, y in zip(a, b)]
+        return [merge(x, y, siblings) for x, y in zip(a, b)]
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
@@ -201,7 +220,7 @@ def align(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i][LABEL] == b[j][LABEL]:
-            out.append(merge(a[i], b[j]))
+            out.append(merge(a[i], b[j], siblings))
             i, j = i + 1, j + 1
         elif j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
             out.append([a[i][LABEL], 1, *a[i][REPEATED:]])
@@ -213,9 +232,10 @@ def align(a: list, b: list) -> list:
 
 
 def slot_mass(item: list, slots_only: bool) -> int:
-    """Characters outside links and boilerplate under an item."""
+    """Characters outside links and boilerplate under an item. With ``slots_only``
+    texts that different pages have alike count 0; a text of one page never does."""
     if item[CHILDREN] is None:
-        return 0 if slots_only and item[DIGEST] else item[PROSE]
+        return 0 if slots_only and item[HERE] and not item[PAGE] else item[PROSE]
     return 0 if boilerplate(item[LABEL]) else sum(slot_mass(x, slots_only) for x in item[CHILDREN])
 
 

@@ -74,3 +74,20 @@ def test_odd_pages(spark):
 def test_boilerplate_labels():
     assert all(map(wrappers.boilerplate, ["nav", "div.ad", "div.site.header", "section.user.comments", "p.cookie.notice", "script"]))
     assert not any(map(wrappers.boilerplate, ["div.adventure", "article", "div.content", "p", "div.shareholders"]))
+
+
+def read(*pages):
+    """Texts of the pages of one host."""
+    place = wrappers.main_place(infer(*pages))
+    return [wrappers.main_text(p, place) for p in pages]
+
+
+def test_one_page_shows_no_slots():
+    page = "<article><p>one long paragraph</p></article><ul><li>a</li><li>b</li></ul>"
+    for texts in (read(page), read(page, page), [wrappers.main_text(page, ["page", "elsewhere"])]):
+        assert all("one long paragraph" in t for t in texts)
+    copies = "<div><p>template</p></div><ul><li>a</li><li>b</li></ul>"
+    assert all("template" in t for t in read(copies, copies, copies))
+    # two different pages do show them, and in one page only is no template
+    first, second = read("<div><p>alike here</p></div><p>own text</p>", "<div><p>alike here</p></div><p>other text</p>")
+    assert "own text" in first and "other text" in second
