@@ -10,8 +10,8 @@ host's wrapper, which is aligned with the next page, and so on.
 Alignment starts inside the map tasks: a task folds its pages of a host into
 one wrapper, so only wrappers are shuffled, and they are merged in two steps
 (salted, then per host). A host with a third of all pages sends one wrapper a
-task. The wrapper then tells where the pages' own text is: its element with
-the most slot text outside menus, footers, adverts and the like. That place is
+task. The wrapper then tells where the pages' own text is: its lowest elements
+with all slot text outside menus, footers, adverts and the like. That place is
 joined back to the pages by host and read there from each whole page.
 """
 
@@ -50,6 +50,8 @@ _CLOSES = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"),
            "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 _PARAGRAPH_ENDS = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
                             "hr main nav ol p pre section table ul details menu".split())
+#: A headline is the page's own text, in a link or not.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BOILERPLATE_TAGS = frozenset("nav header footer aside form button dialog menu head fieldset".split()) | _RAW
 _BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
@@ -166,7 +168,7 @@ def wrapper_of(element: Element, page: str = "") -> list:
     for child in [*element.children, None]:
         if isinstance(child, tuple):
             text.append(child[0])
-            prose += 0 if child[1] else len(child[0].strip())
+            prose += 0 if child[1] and element.tag not in _HEADINGS else len(child[0].strip())
             continue
         own = "".join(text).strip()
         if own:
@@ -233,43 +235,36 @@ def align(a: list, b: list, siblings: bool = False) -> list:
 
 def slot_mass(item: list, slots_only: bool) -> int:
     """Characters outside links and boilerplate under an item. With ``slots_only``
-    texts that different pages have alike count 0; a text of one page never does."""
+    texts that different pages have alike count 0, unless in an article or main
+    element; a text of one page never does."""
     if item[CHILDREN] is None:
         return 0 if slots_only and item[HERE] and not item[PAGE] else item[PROSE]
+    slots_only = slots_only and item[LABEL].split(".")[0] not in ("article", "main")
     return 0 if boilerplate(item[LABEL]) else sum(slot_mass(x, slots_only) for x in item[CHILDREN])
 
 
-def main_place(wrapper: list) -> list[str]:
-    """Labels from the page down to the element that holds the main text: the
-    article or main element if it holds most of the slot text, else the lowest
-    element that does. Where no text differs between pages, all texts count."""
+def main_place(wrapper: list) -> list[list[str]]:
+    """Paths (labels from the page down) of the elements that hold the main
+    text: the lowest element with all of the slot text outside boilerplate, or,
+    where only the body or page has all, each of its children that has some.
+    Texts that do not differ between pages count too if no text does, and in an
+    article or main element."""
     slots_only = slot_mass(wrapper, True) > 0
-    total = slot_mass(wrapper, slots_only)
-    named: list[tuple[int, list[str]]] = []
 
-    def visit(item, path):
-        if item[CHILDREN] is None or boilerplate(item[LABEL]):
-            return
+    def places(item, path):
         path = [*path, item[LABEL]]
-        words = item[LABEL].split(".")
-        if words[0] in ("article", "main") or "main" in words:
-            named.append((slot_mass(item, slots_only), path))
-        for x in item[CHILDREN]:
-            visit(x, path)
-
-    visit(wrapper, [])
-    # of nested ones with as much text the innermost, listed last
-    best = max(enumerate(named), key=lambda x: (x[1][0], x[0]), default=None)
-    if best and best[1][0] * 2 >= total:
-        return best[1][1]
-    item, path = wrapper, [wrapper[LABEL]]
-    while True:
-        inner = max((x for x in item[CHILDREN] if x[CHILDREN] is not None and not x[REPEATED]),
-                    key=lambda x: slot_mass(x, slots_only), default=None)
-        if inner is None or slot_mass(inner, slots_only) * 10 < 9 * total or not total:
-            return path
-        item = inner
-        path.append(item[LABEL])
+        holding = [x for x in item[CHILDREN] if slot_mass(x, slots_only) > 0]
+        if any(x[CHILDREN] is None for x in holding) or not holding:
+            return [path]
+        if len(holding) == 1 and not holding[0][REPEATED]:
+            return places(holding[0], path)
+        if item[LABEL].split(".")[0] not in ("page", "html", "body"):
+            return [path]
+        # a repeated child is read whole wherever it stands
+        return [p for x in holding for p in ([[*path, x[LABEL]]] if x[REPEATED] else places(x, path))]
+
+    found = {tuple(p) for p in places(wrapper, [])}
+    return sorted(list(p) for p in found if not any(p[:n] in found for n in range(1, len(p))))
 
 
 def _text(element: Element, out: list[str]) -> None:
@@ -282,17 +277,17 @@ def _text(element: Element, out: list[str]) -> None:
             out.append(" ")
 
 
-def _at(element: Element, path: list[str]) -> list[Element]:
-    if element.label != path[0]:
-        return []
-    if len(path) == 1:
-        return [element]
-    return [e for c in element.children if isinstance(c, Element) for e in _at(c, path[1:])]
+def _at(element: Element, paths: list[list[str]]) -> list[Element]:
+    """The elements at the paths, in order of the page."""
+    here = [p[1:] for p in paths if p[0] == element.label]
+    if not here or not all(here):
+        return [element] if here else []
+    return [e for c in element.children if isinstance(c, Element) for e in _at(c, here)]
 
 
-def main_text(page: str | None, place: list[str] | None) -> str:
-    """Text of the page at the wrapper's place, or at the place its own stream
-    suggests if it has none there."""
+def main_text(page: str | None, place: list[list[str]] | None) -> str:
+    """Text of the page at the wrapper's places, or at those its own stream
+    suggests if it has none of them."""
     if not page:
         return ""
     root = parse(page)

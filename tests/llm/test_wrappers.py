@@ -91,3 +91,13 @@ def test_one_page_shows_no_slots():
     # two different pages do show them, and in one page only is no template
     first, second = read("<div><p>alike here</p></div><p>own text</p>", "<div><p>alike here</p></div><p>other text</p>")
     assert "own text" in first and "other text" in second
+
+
+def test_no_part_of_the_main_text_is_cut():
+    page = ("<body><div id=content><h1>Title {0}</h1><p class=lede>Lede {0}.</p><div class=body>" + "<p>long {0} text</p>" * 40
+            + "</div></div><footer>f</footer></body>")
+    assert [t[:15] for t in read(page.format(1), page.format(2))] == ["Title 1 Lede 1.", "Title 2 Lede 2."]
+    halves = "<body><article class=a><p>left {0}</p></article><hr><article class=b><p>right {0} and more</p></article><p>(c)</p></body>"
+    assert read(halves.format(1), halves.format(2)) == [f"left {i} right {i} and more" for i in (1, 2)]
+    linked = "<body><div><h1><a href=x>Title {0}</a></h1><div class=body><p>text {0}</p></div></div></body>"
+    assert read(linked.format(1), linked.format(2)) == ["Title 1 text 1", "Title 2 text 2"]
