@@ -52,6 +52,8 @@ _PARAGRAPH_ENDS = frozenset("address article aside blockquote div dl fieldset fi
                             "hr main nav ol p pre section table ul details menu".split())
 #: A headline is the page's own text, in a link or not.
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Never boilerplate, whatever their names.
+_CONTAINERS = frozenset("page html body main article".split())
 _BOILERPLATE_TAGS = frozenset("nav header footer aside form button dialog menu head fieldset".split()) | _RAW
 _BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
@@ -71,7 +73,10 @@ def _label(tag: str, attributes: str) -> str:
 
 
 def boilerplate(label: str) -> bool:
+    """Whether tag or names suggest boilerplate; ``acquitted`` has the last word."""
     tag, *words = label.split(".")
+    if tag in _CONTAINERS:
+        return False
     return tag in _BOILERPLATE_TAGS or not _BOILERPLATE_NAMES.isdisjoint(words) or "hidden" in words
 
 
@@ -233,27 +238,90 @@ def align(a: list, b: list, siblings: bool = False) -> list:
     return fold(out)
 
 
-def slot_mass(item: list, slots_only: bool) -> int:
-    """Characters outside links and boilerplate under an item. With ``slots_only``
-    texts that different pages have alike count 0, unless in an article or main
-    element; a text of one page never does."""
+def slot_mass(item: list, slots_only: bool, kept: frozenset[str] = frozenset()) -> int:
+    """Characters outside links and boilerplate (but for the ``kept`` labels) under
+    an item. With ``slots_only`` texts that different pages have alike count 0,
+    unless in an article or main element; a text of one page never does."""
     if item[CHILDREN] is None:
         return 0 if slots_only and item[HERE] and not item[PAGE] else item[PROSE]
     slots_only = slots_only and item[LABEL].split(".")[0] not in ("article", "main")
-    return 0 if boilerplate(item[LABEL]) else sum(slot_mass(x, slots_only) for x in item[CHILDREN])
+    hidden = boilerplate(item[LABEL]) and item[LABEL] not in kept
+    return 0 if hidden else sum(slot_mass(x, slots_only, kept) for x in item[CHILDREN])
+
+
+def acquitted(wrapper: list) -> frozenset[str]:
+    """Labels that only look like boilerplate: those with at least half of the
+    wrapper's slot text, and if what is then seen is less than half, also those
+    with a tenth, at last all. Where no text differs between pages all texts
+    count, and boilerplate tags (not names) are believed unless nothing else is there."""
+    every = frozenset(_marked(wrapper, set()))
+    slots_only = _varies(wrapper) and slot_mass(wrapper, True, every) > 0
+    named = frozenset(x for x in every if x.split(".")[0] not in _BOILERPLATE_TAGS)
+    # a slot in an advert alone does not make the text that all pages share boilerplate
+    seen = slot_mass(wrapper, False)
+    if slots_only and seen and not slot_mass(wrapper, True) and seen * 2 >= slot_mass(wrapper, False, named):
+        return frozenset()
+    for candidates in ([every] if slots_only else [named, every]):
+        total = slot_mass(wrapper, slots_only, candidates)
+        if not total:
+            continue
+        masses = _marked_masses(wrapper, slots_only, candidates)
+        kept: frozenset[str] = frozenset()
+        for parts in (2, 10, total):
+            if slot_mass(wrapper, slots_only, kept) * 2 >= total:
+                return kept
+            kept = frozenset(x for x, mass in masses.items() if mass * parts >= total)
+        return kept
+    return frozenset()
+
+
+def _varies(item: list) -> bool:
+    """Whether any text differs between pages."""
+    return not item[HERE] if item[CHILDREN] is None else any(map(_varies, item[CHILDREN]))
+
+
+def _marked(item: list, out: set[str]) -> set[str]:
+    """Labels under an item that look like boilerplate."""
+    for x in item[CHILDREN] or []:
+        if x[CHILDREN] is not None:
+            if boilerplate(x[LABEL]):
+                out.add(x[LABEL])
+            _marked(x, out)
+    return out
+
+
+def _marked_masses(wrapper: list, slots_only: bool, candidates: frozenset[str]) -> dict[str, int]:
+    """Slot text under the outermost elements of each candidate label."""
+    masses: dict[str, int] = {}
+
+    def visit(item, above, slots_only):
+        if item[CHILDREN] is None:
+            return slot_mass(item, slots_only)
+        label = item[LABEL]
+        if boilerplate(label) and label not in candidates:
+            return 0
+        slots_only = slots_only and label.split(".")[0] not in ("article", "main")
+        mass = sum(visit(x, above | {label}, slots_only) for x in item[CHILDREN])
+        if label in candidates and label not in above:
+            masses[label] = masses.get(label, 0) + mass
+        return mass
+
+    visit(wrapper, frozenset(), slots_only)
+    return masses
 
 
-def main_place(wrapper: list) -> list[list[str]]:
+def main_place(wrapper: list) -> tuple[list[list[str]], list[str]]:
     """Paths (labels from the page down) of the elements that hold the main
     text: the lowest element with all of the slot text outside boilerplate, or,
     where only the body or page has all, each of its children that has some.
     Texts that do not differ between pages count too if no text does, and in an
-    article or main element."""
-    slots_only = slot_mass(wrapper, True) > 0
+    article or main element. Also the acquitted labels."""
+    kept = acquitted(wrapper)
+    slots_only = slot_mass(wrapper, True, kept) > 0
 
     def places(item, path):
         path = [*path, item[LABEL]]
-        holding = [x for x in item[CHILDREN] if slot_mass(x, slots_only) > 0]
+        holding = [x for x in item[CHILDREN] if slot_mass(x, slots_only, kept) > 0]
         if any(x[CHILDREN] is None for x in holding) or not holding:
             return [path]
         if len(holding) == 1 and not holding[0][REPEATED]:
@@ -264,16 +332,17 @@ def main_place(wrapper: list) -> list[list[str]]:
         return [p for x in holding for p in ([[*path, x[LABEL]]] if x[REPEATED] else places(x, path))]
 
     found = {tuple(p) for p in places(wrapper, [])}
-    return sorted(list(p) for p in found if not any(p[:n] in found for n in range(1, len(p))))
+    paths = sorted(list(p) for p in found if not any(p[:n] in found for n in range(1, len(p))))
+    return paths, sorted(kept)
 
 
-def _text(element: Element, out: list[str]) -> None:
+def _text(element: Element, kept: frozenset[str], out: list[str]) -> None:
     for child in element.children:
         if isinstance(child, tuple):
             out.append(child[0])
-        elif not boilerplate(child.label):
+        elif child.label in kept or not boilerplate(child.label):
             out.append(" ")
-            _text(child, out)
+            _text(child, kept, out)
             out.append(" ")
 
 
@@ -285,18 +354,20 @@ def _at(element: Element, paths: list[list[str]]) -> list[Element]:
     return [e for c in element.children if isinstance(c, Element) for e in _at(c, here)]
 
 
-def main_text(page: str | None, place: list[list[str]] | None) -> str:
+def main_text(page: str | None, place: tuple[list[list[str]], list[str]] | None) -> str:
     """Text of the page at the wrapper's places, or at those its own stream
     suggests if it has none of them."""
     if not page:
         return ""
     root = parse(page)
-    found = _at(root, place) if place else []
+    paths, kept = place or ([], [])
+    found = _at(root, paths)
     if not found:
-        found = _at(root, main_place(wrapper_of(root)))
+        paths, kept = main_place(wrapper_of(root))
+        found = _at(root, paths)
     out: list[str] = []
     for element in found:
-        _text(element, out)
+        _text(element, frozenset(kept), out)
         out.append(" ")
     return " ".join(entities.unescape("".join(out)).split())
 

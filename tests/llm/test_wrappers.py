@@ -84,7 +84,7 @@ def read(*pages):
 
 def test_one_page_shows_no_slots():
     page = "<article><p>one long paragraph</p></article><ul><li>a</li><li>b</li></ul>"
-    for texts in (read(page), read(page, page), [wrappers.main_text(page, ["page", "elsewhere"])]):
+    for texts in (read(page), read(page, page), [wrappers.main_text(page, ([["page", "elsewhere"]], []))]):
         assert all("one long paragraph" in t for t in texts)
     copies = "<div><p>template</p></div><ul><li>a</li><li>b</li></ul>"
     assert all("template" in t for t in read(copies, copies, copies))
@@ -101,3 +101,20 @@ def test_no_part_of_the_main_text_is_cut():
     assert read(halves.format(1), halves.format(2)) == [f"left {i} right {i} and more" for i in (1, 2)]
     linked = "<body><div><h1><a href=x>Title {0}</a></h1><div class=body><p>text {0}</p></div></div></body>"
     assert read(linked.format(1), linked.format(2)) == ["Title 1 text 1", "Title 2 text 2"]
+
+
+def test_containers_that_mention_boilerplate_keep_the_article():
+    text = "<h1>Title {0}</h1>" + "<p>long {0} text of the article</p>" * 9
+    rest = "<div class=sidebar><p>Latest news</p></div><div class=comments><p>reply {0}</p></div><footer>(c)</footer>"
+    frames = ["<body class=has-sidebar>{}</body>", "<body><div class='content with-sidebar'>{}</div></body>",
+              "<body><article class='post comments-open'>{}</article></body>", "<body><div class=widget-content>{}</div></body>",
+              "<body><form id=aspnetForm><div class=page-header-wrap>{}</div></form></body>",
+              "<body><div class='widget a'><p>first {{0}} part</p></div><div class='widget b'>{}</div></body>"]
+    for frame in frames:
+        page = frame.format(text + rest)
+        for texts in (read(page.format(1), page.format(2)), [read(page.format(1))[0]]):
+            for i, t in enumerate(texts, 1):
+                assert f"Title {i}" in t and t.count(f"long {i} text of the article") == 9, (frame, t)
+                assert "reply" not in t and "(c)" not in t and "Latest" not in t, (frame, t)
+    advert = "<body><div class=body><p>all pages share this text</p></div><div class=ad>buy {0}</div></body>"
+    assert read(advert.format(1), advert.format(2)) == ["all pages share this text"] * 2
