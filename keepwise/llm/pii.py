@@ -3,23 +3,26 @@ r"""Personal data: base patterns plus information-theoretic sanitisation.
 Base spans (e-mail, IP address, card number, phone number) are the leftmost
 non-overlapping matches of fixed patterns that pass a check (parts up to 255,
 13 to 19 digits with a Luhn sum, 9 to 15 digits). They are the protected
-entities. Words beside them can give them away even when they are masked, so
-the corpus is asked how much each word reveals: with N texts, of which n(k)
-hold an entity of kind k, n(t) hold term t and n(k, t) hold t beside such an
-entity,
+entities. Words of their texts can give them away even when they are masked,
+so the corpus is asked how much each word reveals: with N texts, of which n(k)
+hold an entity of kind k, n(t) hold term t outside base spans and n(k, t) hold
+both,
 
     disclosure(k, t) = log2(n(k, t) N / (n(t) n(k))) / log2(N / n(k)),
 
 the pointwise mutual information over the information content of the kind: 1
-if the term never occurs without it, 0 if it tells nothing. Terms beside an
-entity are generalised to the kind's name from ``GENERALISE`` on and removed
-from ``REMOVE`` on, provided they stand beside at least ``MIN_ENTITIES``
-different entity values (copies of one document are no evidence).
+if the term never occurs without it, 0 if it tells nothing. Wherever they stand,
+in texts with or without an entity, terms are generalised to the kind's name
+from ``GENERALISE`` on and removed from ``REMOVE`` on, provided that chance
+does not explain the counts: the Chernoff bound on the odds that as many of
+the term's different texts hold the kind, times the pairs of kind and term
+examined, is at most ``CHANCE`` (copies of one text count once). So a name in
+enough texts with its own one address is treated, a word seen once is not.
 
 All work is DataFrame and SQL functions. Patterns are the stated ones with
 possessive repeats and look-behinds, which match the same spans in linear
-time. Only words beside entities travel to the joins; the corpus-wide term
-counts are combined before their shuffle.
+time. Counts are combined before their shuffle; the distinct terms of every
+text meet the table of revealing terms in a join.
 """
 
 from __future__ import annotations
@@ -31,9 +34,8 @@ from .common import col, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: Words taken from each side of an entity.
-BEFORE, AFTER = 3, 2
-MIN_ENTITIES = 5
+#: Terms expected to be marked by chance, over all pairs of kind and term.
+CHANCE = 0.01
 MIN_TERM_LETTERS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -117,59 +119,38 @@ def digest(spans: Column) -> Column:
                                                                  s["stop"].cast("string"))), ",")
 
 
-def _neighbours(texts: DataFrame) -> DataFrame:
-    """Rows (digest, copies, kind, found, term, start, stop) of the words beside each
-    base span of ``texts`` (digest, copies, text, spans). A word counts if it is whole
-    in the window of 40 letters a word, or ends at the text's ends."""
-    before, after = 40 * BEFORE, 40 * AFTER
-    s = texts.select("digest", "copies", "text", F.explode("spans").alias("s"))
-    left_at = F.greatest(F.lit(0), F.col("s.start") - before)
-    sides = s.select(
-        "digest", "copies", "s.kind", "s.found",
-        F.explode(F.array(
-            F.struct(F.lit(-1).alias("side"), left_at.alias("at"),
-                     F.substring("text", left_at + 1, F.col("s.start") - left_at).alias("piece")),
-            F.struct(F.lit(1).alias("side"), F.col("s.stop").alias("at"),
-                     F.substring("text", F.col("s.stop") + 1, F.lit(after)).alias("piece")))).alias("w"))
-    word = r"\p{L}++"
-    parts = F.arrays_zip(F.split("piece", word, -1).alias("gap"),
-                         F.regexp_extract_all("piece", F.lit(word), F.lit(0)).alias("hit"))
-    empty = F.array().cast("array<struct<term:string,start:int,stop:int>>")
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), r"\P{L}++")), lambda t: F.length(t) >= MIN_TERM_LETTERS)
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.length(F.coalesce(x["hit"], F.lit("")))
-        span = F.struct(F.lower(x["hit"]).alias("term"), start.alias("start"), stop.alias("stop"))
-        return F.struct(stop.alias("at"), F.when(x["hit"].isNotNull(), F.concat(acc["words"], F.array(span)))
-                        .otherwise(acc["words"]).alias("words"))
 
-    words = F.aggregate(parts, F.struct(F.col("at"), empty.alias("words")), step, lambda acc: acc["words"])
-    w = sides.select("digest", "copies", "kind", "found", "w.*").withColumn("words", words)
-    # the outermost word of a full window may be cut off: leave it out
-    cut = F.length("piece") >= F.when(F.col("side") < 0, before).otherwise(after)
-    inner = F.when(cut, F.when(F.col("side") < 0, F.expr("slice(words, 2, size(words))"))
-                   .otherwise(F.expr("slice(words, 1, greatest(size(words) - 1, 0))"))).otherwise(F.col("words"))
-    near = F.when(F.col("side") < 0, F.expr(f"slice(inner, greatest(size(inner) - {BEFORE - 1}, 1), {BEFORE})")) \
-        .otherwise(F.expr(f"slice(inner, 1, {AFTER})"))
-    return (w.withColumn("inner", inner).select("digest", "copies", "kind", "found", F.explode(near).alias("x"))
-            .select("digest", "copies", "kind", "found", "x.*").where(F.length("term") >= MIN_TERM_LETTERS))
+def _outside(text: Column, spans: Column) -> Column:
+    """``text`` with a blank for each base span."""
+    return redact(text, F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["stop"], F.lit(" ").alias("label")))))
+
+
+def _neighbours(texts: DataFrame) -> DataFrame:
+    """Rows (digest, copies, kind, term): the distinct terms outside the base spans of
+    each of ``texts`` (digest, copies, text, spans) with each kind the text holds."""
+    kinds = F.array_distinct(F.transform("spans", lambda s: s["kind"]))
+    terms = texts.select("digest", "copies", kinds.alias("kinds"), F.explode(_terms(_outside(F.col("text"), F.col("spans")))).alias("term"))
+    return terms.select("digest", "copies", F.explode("kinds").alias("kind"), "term")
 
 
 def mark(docs: DataFrame, keep) -> DataFrame:
-    """Written once: row (struct of the ``keep`` columns), spans, and for rows
-    with base spans their text and its digest."""
+    """Written once: row (struct of the ``keep`` columns), spans, key (of the
+    text), the text if not kept, and for rows with base spans text and digest."""
     spans = docs.select(F.struct(*[col(c) for c in keep]).alias("row"), F.col("text"),
-                        all_base_spans(F.col("text")).alias("spans"))
+                        all_base_spans(F.col("text")).alias("spans"), F.sha2("text", 256).alias("sha"))
     some = F.size("spans") > 0
-    return materialise(spans.select("row", "spans", F.when(some, F.col("text")).alias("text"),
-                                    F.when(some, F.sha2("text", 256)).alias("digest")), "spans")
+    text = F.when(some, F.col("text")) if "text" in keep else F.col("text")
+    return materialise(spans.select("row", "spans", text.alias("text"), F.when(some, F.col("sha")).alias("digest"),
+                                    F.unhex("sha").alias("key")), "spans")
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """Texts holding each term, over the whole corpus: (term, n_term)."""
-    terms = F.array_distinct(F.split(F.lower("text"), r"\P{L}++"))
-    return (docs.select(F.explode(terms).alias("term")).where(F.length("term") >= MIN_TERM_LETTERS)
-            .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    return docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
 def revealing_terms(docs: DataFrame, entity_texts: DataFrame, beside: DataFrame) -> DataFrame:
@@ -181,35 +162,67 @@ def revealing_terms(docs: DataFrame, entity_texts: DataFrame, beside: DataFrame)
     if not holding:
         return beside.select("kind", "term", F.lit(0.0).alias("disclosure")).where("false")
     n_kind = F.element_at(F.create_map(*[F.lit(x) for k, n in holding.items() for x in (k, int(n))]), F.col("kind"))
-    values = beside.groupBy("kind", "term").agg(F.countDistinct("found").alias("values")).where(
-        F.col("values") >= MIN_ENTITIES)
-    joint = beside.select("kind", "term", "digest", "copies").distinct().groupBy("kind", "term").agg(
-        F.sum("copies").alias("n_joint"))
-    counts = joint.join(values, ["kind", "term"]).join(term_counts(docs), "term")
+    joint = materialise(beside.groupBy("kind", "term").agg(F.sum("copies").alias("n_joint"), F.count(F.lit(1)).alias("n_texts")),
+                        "joint")
+    within = entity_texts.select("copies", F.explode(F.array_except(
+        _terms(F.col("text")), _terms(_outside(F.col("text"), F.col("spans"))))).alias("term"))
+    counts = (joint.join(term_counts(docs), "term")
+              .join(within.groupBy("term").agg(F.sum("copies").alias("n_within")), "term", "left")
+              .withColumn("n_term", F.col("n_term") - F.coalesce("n_within", F.lit(0))))
     n = F.lit(float(total))
     information = F.log2(n / n_kind)
     mutual = F.log2(F.col("n_joint") * n / (F.col("n_term") * n_kind))
+    # texts of the term, copies with the kind once, and how far their share with the kind is from the corpus'
+    texts = F.col("n_texts") + F.col("n_term") - F.col("n_joint")
+    share, rate = F.col("n_texts") / texts, n_kind / n
+    apart = share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    supported = (share > rate) & (texts * apart >= F.log(F.lit(max(1, joint.count()) / CHANCE)))
     # a kind that every text holds carries no information, and no term can disclose it
-    return counts.select("kind", "term", F.when(information > 0, mutual / information).otherwise(0.0)
-                         .alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+    return counts.where(supported).select("kind", "term", F.when(information > 0, mutual / information).otherwise(0.0)
+                                          .alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+
+
+def _occurrences(text: Column, hits: Column, spans: Column) -> Column:
+    """Spans (start, stop, kind, disclosure) of every occurrence of the terms
+    ``hits`` (term, kind, disclosure) as whole words outside the base spans."""
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_distinct(F.transform(
+        hits, lambda h: h["term"])), "|"), F.lit(r")(?!\p{L})"))
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
+    empty = F.array().cast("array<struct<term:string,start:int,stop:int>>")
+
+    def step(acc, x):
+        start = acc["at"] + F.length(x["gap"])
+        stop = start + F.length(F.coalesce(x["hit"], F.lit("")))
+        word = F.struct(F.lower(x["hit"]).alias("term"), start.alias("start"), stop.alias("stop"))
+        return F.struct(stop.alias("at"), F.when(x["hit"].isNotNull(), F.concat(acc["words"], F.array(word)))
+                        .otherwise(acc["words"]).alias("words"))
+
+    words = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("words")), step, lambda acc: acc["words"])
+    free = F.filter(words, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["stop"]) & (s["stop"] > w["start"])))
+    return F.flatten(F.transform(free, lambda w: F.transform(
+        F.filter(hits, lambda h: h["term"] == w["term"]),
+        lambda h: F.struct(w["start"].alias("start"), w["stop"].alias("stop"), h["kind"].alias("kind"),
+                           h["disclosure"].alias("disclosure")))))
 
 
 def find(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
     """Rows (row, base, terms): the ``keep`` columns, the base spans and the
-    spans of revealing terms (kind, term, disclosure, start, stop) beside them."""
+    spans of revealing terms (kind, term, disclosure, start, stop)."""
     marked = mark(docs, keep)
-    some, none = marked.where("digest is not null"), marked.where("digest is null")
+    some = marked.where("digest is not null")
     entity_texts = materialise(some.groupBy("digest").agg(F.first("text").alias("text"), F.first("spans").alias("spans"),
                                                           F.count(F.lit(1)).alias("copies")), "entities")
-    beside = materialise(_neighbours(entity_texts), "beside")
-    terms = materialise(revealing_terms(docs, entity_texts, beside), "terms")
-    inside = F.exists("spans", lambda s: (s["start"] < F.col("stop")) & (s["stop"] > F.col("start")))
-    spots = (beside.join(terms, ["kind", "term"]).join(entity_texts.select("digest", "spans"), "digest")
-             .where(~inside).groupBy("digest")
-             .agg(F.sort_array(F.collect_set(F.struct("start", "stop", "kind", "disclosure"))).alias("terms")))
-    shape = spots.schema["terms"].dataType
-    return some.join(spots, "digest", "left").select("row", "spans", F.coalesce("terms", F.array().cast(shape)).alias(
-        "terms")).unionByName(none.select("row", "spans", F.array().cast(shape).alias("terms")))
+    terms = materialise(revealing_terms(docs, entity_texts, _neighbours(entity_texts)), "terms")
+    words = docs.where("text is not null").select(F.unhex(F.sha2("text", 256)).alias("key"),
+                                                  F.explode(_terms(F.col("text"))).alias("term"))
+    hits = materialise(words.join(terms, "term").groupBy("key").agg(
+        F.collect_set(F.struct("term", "kind", "disclosure")).alias("hits")), "hits")
+    text = F.coalesce(F.col("text"), F.col("row.text")) if "text" in keep else F.col("text")
+    shape = "array<struct<start:int,stop:int,kind:string,disclosure:double>>"
+    empty = F.array().cast(shape)
+    spots = F.when(F.col("hits").isNotNull(), F.sort_array(_occurrences(text, F.col("hits"), F.col("spans")))).otherwise(empty)
+    found = marked.where("key is not null").join(hits, "key", "left").select("row", "spans", spots.cast(shape).alias("terms"))
+    return found.unionByName(marked.where("key is null").select("row", "spans", empty.alias("terms")))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -102,3 +102,25 @@ def test_overlapping_marks_are_covered_once(spark):
     assert pii.sanitise(df).first().text == "call [PHONE] now [IP] [EMAIL]" or brute(text)
     found = pii.sanitise(df).first().text
     assert not re.search(r"\d{4}", found)
+
+
+def test_terms_are_marked_wherever_they_stand(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        words = [rng.choice("about house river stone light water".split()) for _ in range(20)]
+        if i % 10 == 0:
+            words[9] = f"user{i}@example{i}.org"
+        if i % 10 == 0 and i < 360 or i in (11, 12):  # far from the address, and in two texts without one
+            words[1] = words[17] = "Whisper"
+        if 100 <= i < 160 and i % 10 == 0:  # a name with its own one address
+            words[8:10] = ["Smithson", "smithson@home.org"]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    spans = {r.doc_id: re.findall(r"term:(\d+):(\d+)", r.spans) for r in pii.personal_data(docs).collect()}
+    for i, text in rows:
+        outside = re.sub(r"\S+@\S+", lambda m: " " * len(m[0]), text)
+        want = [(str(m.start()), str(m.end())) for m in re.finditer("Whisper|Smithson", outside)]
+        assert spans[i] == want and len(want) == 2 * ("Whisper" in text) + ("Smithson" in text)
+        assert not re.search("whisper|smithson", out[i], re.I) and (want or "@" in text or out[i] == text)
