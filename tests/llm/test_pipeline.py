@@ -50,5 +50,5 @@ def test_odd_documents_pass_all_stages(spark, odd_docs, no_docs):
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
