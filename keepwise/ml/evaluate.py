@@ -2,19 +2,18 @@
 (M8 .. M11, M13).
 
 Every metric is an aggregation, so it runs where the scores are. AUC and the
-ROC curve come from the counts per distinct score and their range-partitioned
-running sums; scores are not rounded. Counts stay exact until the final
-division, which keeps results independent of partitioning.
+ROC curve come from the counts per distinct score and their running sums, taken
+over a fixed grid of score ranges; scores are not rounded. Counts stay exact
+until the final division, which keeps results independent of partitioning.
+Nothing runs before the result is asked for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..operators.ordering import running_sums
-from ..operators.reports import attach_scalar
 
 
 def predicted(prob: Column, threshold: float = 0.5) -> Column:
@@ -102,13 +101,44 @@ def score_counts(df: DataFrame, label: str = "label", probability: str = "probab
         X.count_when(y).alias("pos"), X.count_when(~y).alias("neg"))
 
 
+#: Ranges of the unit interval over which running sums are carried.
+GRID = 65_536
+
+
+def running_counts(counts: DataFrame) -> DataFrame:
+    """``score_counts`` with, per score, the rows of lower scores
+    (``pos_below``, ``neg_below``), the counts of the next lower score
+    (``pos_next``, ``neg_next``; null for the lowest) and all rows (``P``, ``N``).
+
+    Scores fall into ``GRID`` ranges (beyond 0 and 1 into the outer ones, null
+    below all); windows run inside a range, and over the at most ``GRID`` + 2
+    rows that sum up the ranges, which are joined back."""
+    score = F.col("score")
+    cell = F.when(score.isNull(), -1).otherwise(F.floor(F.greatest(F.least(score, F.lit(1.0)), F.lit(0.0)) * GRID).cast("int"))
+    rows = counts.withColumn("cell", cell)
+    order = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    top = F.max_by(F.struct("pos", "neg"), F.coalesce(score, F.lit(float("-inf"))))
+    cells = rows.groupBy("cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), top.alias("top"))
+    cells = cells.select(
+        F.col("cell").alias("c"), F.coalesce(F.sum("p").over(order), F.lit(0)).alias("p0"),
+        F.coalesce(F.sum("n").over(order), F.lit(0)).alias("n0"), F.lag("top").over(Window.orderBy("cell")).alias("low"),
+        F.sum("p").over(Window.partitionBy(F.lit(0))).alias("P"), F.sum("n").over(Window.partitionBy(F.lit(0))).alias("N"))
+    inside = Window.partitionBy("cell").orderBy(score.asc_nulls_first())
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.coalesce(F.lag(F.struct("pos", "neg")).over(inside), F.col("low"))
+    # bounded by GRID + 2 rows
+    return rows.join(F.broadcast(cells), F.col("cell") == F.col("c")).select(
+        "score", "pos", "neg", (F.coalesce(F.sum("pos").over(before), F.lit(0)) + F.col("p0")).alias("pos_below"),
+        (F.coalesce(F.sum("neg").over(before), F.lit(0)) + F.col("n0")).alias("neg_below"),
+        lower["pos"].alias("pos_next"), lower["neg"].alias("neg_next"), "P", "N")
+
+
 def roc_auc(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
     """M9: exact Mann-Whitney AUC over the distinct scores (ties count one
-    half): sum(pos * (2 * neg_below + neg_tied)) / (2 * P * N). The running
-    sum is range-partitioned and all counts are decimals, so neither the number
-    of scores nor of rows is limited."""
-    h = running_sums(score_counts(df, label, probability), [F.col("score").asc()], ["neg"])
-    pair = F.col("pos").cast("decimal(18,0)") * (F.lit(2) * F.col("neg_before") + F.col("neg")).cast("decimal(20,0)")
+    half): sum(pos * (2 * neg_below + neg_tied)) / (2 * P * N). Products are
+    decimals, so neither the number of scores nor of rows is limited."""
+    h = running_counts(score_counts(df, label, probability))
+    pair = F.col("pos").cast("decimal(18,0)") * (F.lit(2) * F.col("neg_below") + F.col("neg")).cast("decimal(20,0)")
     t = h.agg(F.sum(pair).alias("u2"), F.sum("pos").cast("long").alias("positives"),
               F.sum("neg").cast("long").alias("negatives"))
     den = F.lit(2.0) * F.col("positives").cast("double") * F.col("negatives").cast("double")
@@ -116,20 +146,26 @@ def roc_auc(df: DataFrame, label: str = "label", probability: str = "probability
                     F.when(den > 0, F.col("u2").cast("double") / den).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", probability: str = "probability",
+              drop_intermediate: bool = False) -> DataFrame:
     """The curve's points from the highest threshold down: first
     (threshold +inf, fpr 0, tpr 0), then one point per distinct score with rows
-    scoring >= threshold predicted positive."""
-    counts = score_counts(df, label, probability)
-    h = running_sums(counts, [F.col("score").desc()], ["pos", "neg"])
-    h = attach_scalar(h, counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
+    scoring >= threshold predicted positive.
+
+    ``drop_intermediate`` leaves out the points the curve runs straight through
+    with equal steps on both sides, as the reference's plot does: a point goes
+    if the next lower score adds the same counts as its own. The first and the
+    last score always stay; the area does not change."""
+    h = running_counts(score_counts(df, label, probability))
+    highest = (F.col("pos_below") + F.col("pos") == F.col("P")) & (F.col("neg_below") + F.col("neg") == F.col("N"))
+    if drop_intermediate:
+        straight = (F.col("pos") == F.col("pos_next")) & (F.col("neg") == F.col("neg_next"))
+        h = h.where(highest | F.col("pos_next").isNull() | ~straight)
     point = F.struct(
-        F.col("score").alias("threshold"),
-        _div(F.col("neg_before") + F.col("neg"), F.col("N")).alias("fpr"),
-        _div(F.col("pos_before") + F.col("pos"), F.col("P")).alias("tpr"),
-    )
+        F.col("score").alias("threshold"), _div(F.col("N") - F.col("neg_below"), F.col("N")).alias("fpr"),
+        _div(F.col("P") - F.col("pos_below"), F.col("P")).alias("tpr"))
     start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     # nothing is above the highest score: it also emits the starting point
-    first = (F.col("pos_before") + F.col("neg_before")) == 0
-    pts = F.when(first, F.array(start, point)).otherwise(F.array(point))
+    pts = F.when(highest, F.array(start, point)).otherwise(F.array(point))
     return h.select(F.explode(pts).alias("p")).select("p.*")
+

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators.reports import attach_scalar
 
 TRAIN = "train"
 TEST = "test"
@@ -57,18 +58,18 @@ def split_class_balance(df: DataFrame, label: str = "churned", split_col: str =
 
 
 def scaler_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """M3: mean and sample standard deviation per column, the statistics a
-    ``StandardScaler(withMean=True, withStd=True)`` fitted on ``df`` uses, from
-    decimal sums of the values (to four places) and their squares, so they do
-    not depend on the order of the rows. One aggregation pass for all columns,
-    then one row per column."""
-    aggs = []
-    for c in cols:
-        v = F.col(c).cast("decimal(18,4)")
-        n, x, xx = (a.cast("double") for a in (F.count(c), F.sum(v), F.sum(v * v)))
-        spread = F.greatest(xx - x * (x / n), F.lit(0.0))
-        aggs += [(x / n).alias(f"{c}__mean"), F.when(n > 1, F.sqrt(spread / (n - F.lit(1.0)))).alias(f"{c}__std")]
-    wide = df.agg(*aggs)
+    """M3: mean and sample standard deviation per column, the moments a
+    ``StandardScaler(withMean=True, withStd=True)`` fitted on ``df`` holds, as
+    counts, means and centred squares that partitions merge. Values are neither
+    rounded nor squared uncentred: a first pass gives a centre per column, the
+    second takes the moments of the differences, so ratios, and values of any size
+    with a small spread, keep their digits. One row per column; a single row has
+    no deviation."""
+    first = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}__at") for c in cols])
+    near = attach_scalar(df.select(*cols), first)
+    moved = {c: F.col(c).cast("double") - F.col(f"{c}__at") for c in cols}
+    wide = near.agg(*[a for c in cols for a in ((F.first(f"{c}__at") + F.avg(moved[c])).alias(f"{c}__mean"),
+                                                F.stddev_samp(moved[c]).alias(f"{c}__std"))])
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"))
         for c in cols])).alias("r")).select("r.*")

@@ -16,7 +16,8 @@ from dataclasses import asdict
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder, StandardScaler, StandardScalerModel, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from .. import config as C
 from ..functions import exprs as X
 from ..sources.tables import scratch_path
 from .prep import add_class_weight
+from .strata import stratified_folds
 
 LABEL = "churned"
 WEIGHT = "class_weight"
@@ -65,6 +67,24 @@ def scaler_stages(numeric_cols: Sequence[str], cat_cols: Sequence[str]) -> list:
     ]
 
 
+def fit_scaler(df: DataFrame) -> PipelineModel:
+    """M1 and M3 alone: encoder and scaler fitted on ``df``, as the pipeline of the forest fits them."""
+    num, cats = feature_columns(df)
+    return Pipeline(stages=encode_stages(cats) + scaler_stages(num, cats)).fit(filled(df))
+
+
+def fitted_scaler(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(feature, mean, std) of every slot of the fitted scaler of a pipeline
+    (one row per model input: model-sized)."""
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    plain = [c for c in assembler.getInputCols() if not c.endswith("__vec")]
+    # the numeric columns come first; the slots of the encoded ones have no name of their own
+    names = plain + [f"slot{i}" for i in range(len(plain), len(scaler.mean))]
+    return spark.createDataFrame([(n, float(m), float(s)) for n, m, s in zip(names, scaler.mean, scaler.std)],
+                                 "feature string, mean double, std double")
+
+
 def forest(params: C.ForestParams = C.ForestParams(), label: str = LABEL,
            weight_col: str | None = WEIGHT) -> RandomForestClassifier:
     """M5: the reference's forest. ``min_samples_split=20`` needs no own
@@ -152,12 +172,13 @@ def score(model: PipelineModel, df: DataFrame, probability_col: str = "churn_pro
 
 def cross_validate(df: DataFrame, params: C.ForestParams = C.ForestParams(), folds: int = 5,
                    label: str = LABEL, id_col: str = "customer_id", parallelism: int | None = None) -> DataFrame:
-    """M6: k-fold cross-validated ROC-AUC of the whole pipeline; folds come
-    from a hash of the id, so they are repeatable and need no sort."""
+    """M6: k-fold cross-validated ROC-AUC of the whole pipeline; the folds cut
+    every class into equal parts (to within one row) in the order of a hash of
+    the id, so they are repeatable."""
     num, cats = feature_columns(df)
     # written with weights and folds: every fold's fits and evaluations read these rows
-    data = materialised(prepare_training(df, label, id_col, params).withColumn(
-        "fold", (X.hash32(F.concat(F.col(id_col).cast("string"), F.lit(":fold"))) % folds).cast("int")), "folds")
+    data = materialised(stratified_folds(prepare_training(df, label, id_col, params), label, id_col, folds, params.seed),
+                        "folds")
     pipe = build_pipeline(num, cats, params, label)
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
                                        metricName="areaUnderROC")

@@ -328,6 +328,22 @@ def roc_curve(spark, d):
     return EVAL.roc_curve(_labelled(spark, d))
 
 
+@register("roc_curve_corners", _LABELLED + """SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+    FROM labelled HAVING COUNT(*) > 0
+    UNION ALL
+    SELECT bin AS threshold,
+    CASE WHEN N > 0 THEN CAST(cum_neg AS DOUBLE) / CAST(N AS DOUBLE) ELSE 0.0 END AS fpr,
+    CASE WHEN P > 0 THEN CAST(cum_pos AS DOUBLE) / CAST(P AS DOUBLE) ELSE 0.0 END AS tpr
+    FROM (SELECT bin, pos, neg, SUM(pos) OVER (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+                 SUM(neg) OVER (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+                 LEAD(pos) OVER (ORDER BY bin DESC) AS pos_next, LEAD(neg) OVER (ORDER BY bin DESC) AS neg_next,
+                 ROW_NUMBER() OVER (ORDER BY bin DESC) AS place, SUM(pos) OVER () AS P, SUM(neg) OVER () AS N FROM hist) h
+    WHERE place = 1 OR pos_next IS NULL OR pos != pos_next OR neg != neg_next""")
+def roc_curve_corners(spark, d):
+    """The curve without the points it runs straight through."""
+    return EVAL.roc_curve(_labelled(spark, d), drop_intermediate=True)
+
+
 # --- 2.10 training-table preparation -----------------------------------------------------------
 
 _SPLIT_SQL = (_MERGED_WITH.rstrip() + """,
@@ -388,17 +404,32 @@ def _scaler_cols(spark, d):
 SCALER_COLUMNS = [c for c, _ in O.MERGED_NUMERIC_CORE if c != "churned"]
 
 
+def _digits(expr: str) -> str:
+    """Ten significant digits: sums of doubles differ in the last ones by their order."""
+    return f"CAST(printf('%.9e', {expr}) AS DOUBLE)"
+
+
 def _moments(c: str) -> str:
-    n, x, xx = (f"CAST({e} AS DOUBLE)" for e in (f"COUNT({c})", f"SUM(CAST({c} AS DECIMAL(18,4)))",
-                                                f"SUM(CAST({c} AS DECIMAL(30,4)) * CAST({c} AS DECIMAL(30,4)))"))
-    return (f"SELECT '{c}' AS feature, {x} / {n} AS mean, "
-            f"sqrt(greatest({xx} - {x} * ({x} / {n}), 0.0) / ({n} - 1.0)) AS std FROM split WHERE split = 'train'")
+    return (f"SELECT '{c}' AS feature, {_digits(f'AVG(CAST({c} AS DOUBLE))')} AS mean, "
+            f"{_digits(f'STDDEV_SAMP(CAST({c} AS DOUBLE))')} AS std, TRUE AS moments_agree FROM split WHERE split = 'train'")
 
 
 @register("scaler_stats", _SPLIT_SQL + "\nUNION ALL\n".join(map(_moments, SCALER_COLUMNS)))
 def scaler_stats(spark, d):
-    train = _split(spark, d).where(F.col("split") == P.TRAIN)
-    return P.scaler_stats(train, _scaler_cols(spark, d))
+    """Mean and deviation read from the scaler a fitted pipeline holds, against
+    DuckDB's; ``moments_agree``: the merged moments of the training rows are the
+    same to 1e-12."""
+    train = ML.materialised(_split(spark, d).where(F.col("split") == P.TRAIN), "train")
+    cols = _scaler_cols(spark, d)
+    fitted = ML.fitted_scaler(spark, ML.fit_scaler(train)).where(F.col("feature").isin(cols))
+    own = P.scaler_stats(train, cols).withColumnsRenamed({"mean": "own_mean", "std": "own_std"})
+
+    def near(a, b):
+        return F.abs(F.col(a) - F.col(b)) <= 1e-12 * (F.abs(F.col(a)) + 1e-300)
+
+    return fitted.join(own, "feature").select(
+        "feature", *[F.format_string("%.9e", F.col(c)).cast("double").alias(c) for c in ("mean", "std")],
+        (near("mean", "own_mean") & near("std", "own_std")).alias("moments_agree"))
 
 
 # --- 2.10 model: what must hold of any fit, computed from its real scores ------------------------

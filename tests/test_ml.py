@@ -171,7 +171,7 @@ def test_class_weights_balanced(spark):
 
 
 def test_scaler_stats_are_the_scaler_s(spark, planted):
-    """The decimal sums give the mean and deviation a StandardScaler fits."""
+    """Merged moments are those a StandardScaler fits, and the fitted pipeline's scaler can be read back."""
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
     cols = ["days_since_last_login", "total_revenue", "total_tickets"]
@@ -179,10 +179,59 @@ def test_scaler_stats_are_the_scaler_s(spark, planted):
     fitted = StandardScaler(inputCol="v", outputCol="w", withMean=True).fit(rows)
     got = {r["feature"]: (r["mean"], r["std"]) for r in P.scaler_stats(planted, cols).collect()}
     for i, c in enumerate(cols):
-        assert got[c] == (pytest.approx(fitted.mean[i], abs=1e-4), pytest.approx(fitted.std[i], abs=1e-4))
+        assert got[c] == (pytest.approx(fitted.mean[i], rel=1e-12), pytest.approx(fitted.std[i], rel=1e-12))
+    spark = planted.sparkSession
+    back = {r.feature: (r.mean, r.std) for r in ML.fitted_scaler(spark, ML.fit_scaler(planted)).collect()}
+    assert all(back[c] == (pytest.approx(got[c][0], rel=1e-12), pytest.approx(got[c][1], rel=1e-12)) for c in cols)
     assert P.scaler_stats(planted.limit(1), cols).first()["std"] is None
 
 
+def test_scaler_stats_keep_digits(spark):
+    """Ratios such as 1/3 and values over 10^14 with a small spread: no rounding, no cancellation."""
+    from fractions import Fraction
+
+    xs, ys = [i / 3 for i in range(400)], [10**14 + i % 7 for i in range(400)]
+    df = spark.createDataFrame(list(zip(xs, map(float, ys))), "x double, y double").repartition(7)
+    got = {r.feature: r for r in P.scaler_stats(df, ["x", "y"]).collect()}
+    for name, values in (("x", xs), ("y", ys)):
+        exact = [Fraction(v) for v in values]
+        mean = sum(exact) / 400
+        var = sum((v - mean) ** 2 for v in exact) / 399
+        assert got[name]["mean"] == pytest.approx(float(mean), rel=1e-14)
+        assert got[name]["std"] == pytest.approx(float(var) ** 0.5, rel=1e-9)
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_corner_points_of_the_roc_curve(spark, parts):
+    """Against the definition on all points in order, with equal area; scores outside [0, 1], null and one alone included."""
+    rnd = random.Random(6)
+    scores = [rnd.choice([0.1, 0.2, 0.25, 0.9999, 0.99991, 1.5, -2.0, float(i) / 40]) for i in range(60) for _ in range(3)]
+    rows = [(int(rnd.random() < 0.5), p) for p in scores]
+    df = spark.createDataFrame(rows, "label int, probability double").repartition(parts)
+    key = lambda r: -r.threshold
+    every = sorted(EVAL.roc_curve(df).collect(), key=key)
+    thin = sorted(EVAL.roc_curve(df, drop_intermediate=True).collect(), key=key)
+    steps = [(b.fpr - a.fpr, b.tpr - a.tpr) for a, b in zip(every, every[1:])]
+    same = lambda a, b: all(abs(x - y) < 1e-12 for x, y in zip(a, b))
+    want = [every[0], every[1]] + [p for i, p in enumerate(every[2:-1], 2) if not same(steps[i - 1], steps[i])] + [every[-1]]
+    assert thin == want and len(thin) < len(every)
+    area = lambda ps: sum((b.fpr - a.fpr) * (a.tpr + b.tpr) / 2 for a, b in zip(ps, ps[1:]))
+    auc = EVAL.roc_auc(df).first()["roc_auc"]
+    assert area(thin) == pytest.approx(auc, abs=1e-12) and area(every) == pytest.approx(auc, abs=1e-12)
+    one = EVAL.roc_curve(df.where("probability = 1.5"), drop_intermediate=True).collect()
+    assert sorted(r.threshold for r in one) == [1.5, float("inf")]
+    assert EVAL.roc_curve(df.where("false")).collect() == []
+
+
+def test_metrics_run_nothing_before_they_are_asked_for(spark):
+    df = spark.createDataFrame([(1, 0.5), (0, 0.25)], "label int, probability double")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-metrics", "")
+    EVAL.roc_auc(df), EVAL.roc_curve(df)
+    assert list(tracker.getJobIdsForGroup("lazy-metrics")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """Label tied to one feature: churned iff days_since_last_login > 20."""
