@@ -115,6 +115,11 @@ def usage_metrics(activity: DataFrame, as_of, profile: str = FULL, approx_rsd: f
              for w in range(DAY_WORDS)]
     active = sum((F.bit_count(F.coalesce(F.col(f"_day_{w}"), F.lit(0).cast("long"))) for w in range(DAY_WORDS)), F.lit(0))
     g = df.groupBy("customer_id").agg(*aggs, *words).withColumn("active_days", active.cast("long"))
+    return usage_columns(g, clock, profile)
+
+
+def usage_columns(g: DataFrame, clock, profile: str) -> DataFrame:
+    """Result columns of Q2 from one row of aggregates per customer."""
     out = [
         F.col("customer_id"),
         X.coalesce_zero(F.col("total_sessions")).alias("total_sessions"),
@@ -178,7 +183,11 @@ def financial_metrics(invoices: DataFrame, as_of, profile: str = FULL) -> DataFr
             X.mean_when(day >= recent_lo, amount).alias("recent_mrr"),
             X.mean_when((day >= previous_lo) & (day < recent_lo), amount).alias("previous_mrr"),
         ]
-    g = df.groupBy("customer_id").agg(*aggs)
+    return financial_columns(df.groupBy("customer_id").agg(*aggs), clock, profile)
+
+
+def financial_columns(g: DataFrame, clock, profile: str) -> DataFrame:
+    """Result columns of Q3 from one row of aggregates per customer."""
     revenue = F.coalesce(F.col("_revenue").cast("double"), F.lit(0.0)).alias("total_revenue")
     avg_rev = F.coalesce(F.col("avg_monthly_revenue"), F.lit(0.0)).alias("avg_monthly_revenue")
     success = X.safe_ratio(F.col("successful_payments"), F.col("total_invoices")).alias("payment_success_rate")

@@ -24,9 +24,11 @@ from ..functions import exprs as X
 from ..ml import evaluate as EVAL
 from ..ml import prep as P
 from ..ml import train as ML
+from ..ml.strata import stratified_split
 from ..operators import features as FT
 from ..operators import reports as R
 from ..operators import scores as S
+from ..sources import latest as LT
 from ..sources import tables as TB
 
 
@@ -48,7 +50,7 @@ def train_and_evaluate(features: DataFrame, model_dir: str, params: C.ForestPara
                        label: str = "churned") -> dict[str, DataFrame]:
     """Fit on the training split, cross-validate, evaluate on the test split
     and save the model with its metrics. Returns the metric tables."""
-    data = ML.materialised(P.hash_split(features, "customer_id", split.test_fraction, split.seed), "split")
+    data = ML.materialised(stratified_split(features, label, "customer_id", split.test_fraction, split.seed), "split")
     train = data.where(F.col("split") == P.TRAIN).drop("split")
     test = data.where(F.col("split") == P.TEST).drop("split")
     model = ML.train(train, params, label)
@@ -80,9 +82,11 @@ def daily_scoring(spark: SparkSession, tables: dict[str, DataFrame], model: Pipe
                   store_path: str, as_of, model_version: str = C.DEFAULT_MODEL_VERSION,
                   clocks: FT.Clocks | None = None, created_at=None) -> DataFrame:
     """Score every customer of the base at ``as_of``, add the rows to the
-    prediction store and return the high-risk report over the store.
+    prediction store and return the high-risk report.
 
-    A repeated run of the same day and version replaces its own rows. The three
+    A repeated run of the same day and version replaces its own rows. The report
+    reads the latest prediction per customer from the table kept next to the
+    store (``<store>_latest``), which takes in this run's rows only. The three
     fact tables are aggregated once: the sets are written, and both the feature
     table and the report read them."""
     if isinstance(model, str):
@@ -97,7 +101,9 @@ def daily_scoring(spark: SparkSession, tables: dict[str, DataFrame], model: Pipe
         FT.customer_base(tables["customers"], clocks.customers, FT.CORE), *sets.values(),
         FT.marketing_metrics(tables["marketing_engagement"], clocks.marketing, FT.CORE)))
     rows = S.prediction_rows(ML.score(model, feats), as_of=as_of, model_version=model_version, created_at=created_at)
-    TB.append_predictions(rows, store_path, run_id=f"daily-{FT.as_datetime(as_of):%Y%m%d}-{model_version}")
-    preds = TB.read_predictions(spark, store_path)
+    run_id, latest_path = f"daily-{FT.as_datetime(as_of):%Y%m%d}-{model_version}", f"{store_path.rstrip('/')}_latest"
+    TB.append_predictions(rows, store_path, run_id=run_id)
+    LT.update_latest(spark, latest_path, store_path, run_id)
+    preds = LT.read_latest(spark, latest_path, clocks.customers, store_path)
     return R.high_risk_report(tables["customers"], preds, sets["usage"], sets["financial"], sets["support"],
                               clocks.customers)

@@ -1,13 +1,11 @@
 """Query key -> (Spark callable, DuckDB oracle SQL or None).
 
-Keys without SQL (model training, cross-validation, scoring with a fitted
-model, model files, the stream, scaler statistics) get the driver's rows-only
-check; their behaviour is covered by the tests instead.
+Every key has an SQL twin.
 """
 
 from __future__ import annotations
 
-from . import analytics, primitives
+from . import analytics, forest, primitives, rolling  # noqa: F401  (forest and rolling register with analytics)
 from .queries import ORACLE as COMPOSITE_ORACLE
 from .queries import QUERIES as COMPOSITE
 from .queries import QueryFn
