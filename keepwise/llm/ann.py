@@ -128,8 +128,11 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, orderings: int = ORD
     rows = materialise(usable(vectors), "vectors")
     by_vector = Window.partitionBy("v").orderBy("vec_id")
     # the window's row limit is applied before its shuffle, so a hot vector sends k + 1 rows a task
-    heads = materialise(rows.withColumn("n", F.row_number().over(by_vector)).where(F.col("n") <= k + 1)
-                        .withColumn("class_id", F.min("vec_id").over(Window.partitionBy("v"))), "heads")
+    heads = materialise(rows.withColumn("n", F.row_number().over(by_vector)).where(F.col("n") <= k + 1), "heads")
+    # classes are numbered in the order of their first ids (an id may have several vectors), so ties go by id
+    numbers = materialise(heads.where("n = 1").orderBy("vec_id", "v").select(
+        F.monotonically_increasing_id().alias("class_id"), F.col("v").alias("class_v")), "classes")
+    heads = materialise(heads.join(numbers, F.col("v") == F.col("class_v")).drop("class_v"), "heads")
     parts = [_search_dimension(heads, rows, int(d), k, every, orderings, directions, window_share, min_window, block_rows)
              for d in sorted(r["d"] for r in heads.select(F.size("v").alias("d")).distinct().collect())]
     if not parts:

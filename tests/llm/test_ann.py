@@ -82,3 +82,9 @@ def test_recall_on_the_driver_table(spark):
         s[n] = -9
         hits += len(set(ids[np.argsort(-s)[:20]].tolist()) & {j for j, _ in got[ids[n]]})
     assert hits / (20 * (ids % 20 == 0).sum()) >= 0.9
+
+
+def test_an_id_with_two_vectors_is_two_rows(spark):
+    rows = [(20, [1.0, 0.0]), (7, [3.0, 0.0]), (7, [0.0, 5.0]), (3, [2.0, 1.0]), (5, [-1.0, 1.0])]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(7, 3.0), (3, 2.0), (7, 0.0), (5, -1.0)]
