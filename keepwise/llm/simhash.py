@@ -19,11 +19,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import annotate, materialise
+from .common import annotate, col, materialise
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
@@ -132,15 +132,19 @@ def components(marked: DataFrame) -> DataFrame:
     doc_ids link like any other but never name a component (null only if the
     component has no other doc_id). Repeated rows stay repeated."""
     marked = materialise(marked.select("doc_id", "fp"), "fp")
-    heads = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "heads")
-    roots = connected_components(near_pairs(heads.select("fp")))
-    rooted = heads.join(roots, heads.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(named, "root").select("fp", "component_id")
     return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(heads: DataFrame) -> DataFrame:
+    """``heads`` (one row per fingerprint ``fp``) with ``root``, the same for all linked fingerprints."""
+    heads = materialise(heads, "heads")
+    roots = connected_components(near_pairs(heads.select("fp")))
+    return heads.join(roots, heads.fp == roots.node, "left").select(*heads.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
     Null and wordless texts have fingerprint zero, linked like any other; an
@@ -151,13 +155,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with one document of each near-duplicate group: the
-    smallest doc_id. Repeated rows of a doc_id are reduced to one. Rows
+    smallest doc_id, and of rows that share it the smallest fingerprint, then
+    text hash. Rows that repeat doc_id and text are reduced to one; a doc_id
+    with unlike texts stands for several groups and keeps a row in each. Rows
     without doc_id cannot be told apart by it and are all kept."""
-    marked = components(fingerprints(docs))
-    ids = materialise(marked.where("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    # the kept ids grow with the documents: never a broadcast
-    named = ids.select(F.col("doc_id").alias("keepwise_keep_id")).hint("merge")
-    kept = docs.join(named, F.col("doc_id") == F.col("keepwise_keep_id"), "left_semi")
-    if ids.where("count > 1").head(1):
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    of_text = F.xxhash64(col("text"), F.length(col("text")))
+    marked = fingerprints(docs.select(col("doc_id"), col("text"), of_text.alias("t")), keep=("doc_id", "t"))
+    marked = materialise(marked.where("doc_id is not null"), "fp")
+    rooted = _rooted(marked.groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "t")).alias("head")))
+    heads = materialise(rooted.groupBy("root").agg(F.min("head").alias("h")).select("h.doc_id", "h.t"), "kept")
+    # the kept keys grow with the documents: never a broadcast
+    named = heads.select(F.col("doc_id").alias("keepwise_keep_id"), F.col("t").alias("keepwise_keep_t")).hint("merge")
+    # repeated rows are reduced before the shuffle, whose partitioning the join then uses
+    repeats = Window.partitionBy(col("doc_id"), F.col("keepwise_t")).orderBy(F.xxhash64(*map(col, docs.columns)))
+    first = (docs.where(col("doc_id").isNotNull()).withColumn("keepwise_t", of_text)
+             .withColumn("keepwise_n", F.row_number().over(repeats)).where("keepwise_n = 1"))
+    kept = first.join(named, (col("doc_id") == F.col("keepwise_keep_id")) & (F.col("keepwise_t") == F.col("keepwise_keep_t")),
+                      "left_semi").select(*map(col, docs.columns))
+    return kept.unionByName(docs.where(col("doc_id").isNull()))

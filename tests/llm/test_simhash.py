@@ -101,3 +101,14 @@ def test_hot_group_of_copies(spark):
     rows = [(i, "one two three four") for i in range(3000)] + [(5000 + i, f"other text number {i}") for i in range(20)]
     got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id < 3000")
     assert got.count() == 3000 and {r.component_id for r in got.select("component_id").distinct().collect()} == {0}
+
+
+def test_keep_one_loses_no_unlike_text_of_a_repeated_id(spark):
+    """One id with two unlike texts stands for two groups; near copies under one id and repeated rows leave one row."""
+    a, b = "alpha beta gamma delta epsilon", "one two three four five six"
+    rows = [(5, a, 1), (5, b, 2), (5, a, 1), (9, a, 3), (2, b, 4), (8, "seven eight nine ten", 5), (8, "seven eight nine ten", 5)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, t long").repartition(3))
+    assert sorted(map(tuple, kept.collect())) == [(2, b, 4), (5, a, 1), (8, "seven eight nine ten", 5)]
+    rows = [(5, a, 1), (5, b, 2), (6, a, 1)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, t long"))
+    assert sorted(map(tuple, kept.collect())) == [(5, a, 1), (5, b, 2)]
