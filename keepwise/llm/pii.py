@@ -85,26 +85,59 @@ def _valid(kind: str, x: Column) -> Column:
     return n.between(9, 15) if kind == "phone" else n.between(13, 19) & F.when(n.between(13, 19), luhn(_digits(x)))
 
 
-def base_spans(text: Column, kind: str) -> Column:
-    """Spans (kind, start, stop, found) of one kind in code points, in order.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _pieces(items: Column) -> Column:
+    """An array cut into arrays of the square root of its size."""
+    n = F.size(items)
+    k = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double"))).cast("int"))
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((n - 1) / k).cast("int"))),
+                       lambda c: F.slice(items, c * k + 1, k))
+
+
+def _in_pieces(items: Column, size, step, empty: Column) -> Column:
+    """``step`` run over an array from the left, appending to a list, in time
+    that stays near linear: a list grown item by item is copied for each, so the
+    items are cut into pieces, each with a list of its own. ``size`` gives the
+    length of an item; a piece starts at the sum of the lengths before it.
+    ``step`` maps (struct of at and out, item) to the next struct."""
+
+    def run(pieces):
+        lengths = F.transform(pieces, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + size(x)))
+        state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        begins = F.aggregate(lengths, state, lambda a, n: F.struct(
+            (a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(pieces, begins, lambda p, begin: F.aggregate(
+            p, F.struct(begin.alias("at"), empty.alias("out")), step, lambda a: a["out"])))
 
+    return _let(items, lambda it: _let(_pieces(it), run))
+
+
+def _matches(text: Column, pattern: Column, hit, empty: Column) -> Column:
+    """``hit(found, start, stop)`` of every match, in order and code points.
     The texts between matches (a split by the pattern) and the matches, laid
     end to end, give every position."""
-    pattern = F.lit(PATTERNS[kind])
-    parts = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"),
-                         F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
-    empty = F.array().cast(_SPAN)
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
+
+    def length(x):
+        return F.length(x["gap"]) + F.length(F.coalesce(x["hit"], F.lit("")))
 
     def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.length(F.coalesce(x["hit"], F.lit("")))
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), x["hit"].alias("found"))
-        return F.struct(stop.alias("at"),
-                        F.when(x["hit"].isNotNull(), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-                        .alias("spans"))
-
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    found = F.aggregate(parts, start, step, lambda acc: acc["spans"])
+        start, stop = acc["at"] + F.length(x["gap"]), acc["at"] + length(x)
+        return F.struct(stop.alias("at"), F.when(x["hit"].isNotNull(), F.concat(
+            acc["out"], F.array(hit(x["hit"], start, stop)))).otherwise(acc["out"]).alias("out"))
+
+    return _in_pieces(parts, length, step, empty)
+
+
+def base_spans(text: Column, kind: str) -> Column:
+    """Spans (kind, start, stop, found) of one kind in code points, in order."""
+    empty = F.array().cast(_SPAN)
+    found = _matches(text, F.lit(PATTERNS[kind]), lambda found, start, stop: F.struct(
+        F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), found.alias("found")), empty)
     return F.when(_GATES[kind](text), F.filter(found, lambda s: _valid(kind, s["found"]))).otherwise(empty)
 
 
@@ -187,17 +220,9 @@ def _occurrences(text: Column, hits: Column, spans: Column) -> Column:
     ``hits`` (term, kind, disclosure) as whole words outside the base spans."""
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_distinct(F.transform(
         hits, lambda h: h["term"])), "|"), F.lit(r")(?!\p{L})"))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"))
-    empty = F.array().cast("array<struct<term:string,start:int,stop:int>>")
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.length(F.coalesce(x["hit"], F.lit("")))
-        word = F.struct(F.lower(x["hit"]).alias("term"), start.alias("start"), stop.alias("stop"))
-        return F.struct(stop.alias("at"), F.when(x["hit"].isNotNull(), F.concat(acc["words"], F.array(word)))
-                        .otherwise(acc["words"]).alias("words"))
-
-    words = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("words")), step, lambda acc: acc["words"])
+    words = _matches(text, pattern, lambda found, start, stop: F.struct(
+        F.lower(found).alias("term"), start.alias("start"), stop.alias("stop")),
+        F.array().cast("array<struct<term:string,start:int,stop:int>>"))
     free = F.filter(words, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["stop"]) & (s["stop"] > w["start"])))
     return F.flatten(F.transform(free, lambda w: F.transform(
         F.filter(hits, lambda h: h["term"] == w["term"]),
@@ -241,15 +266,22 @@ def redact(text: Column, marks: Column) -> Column:
     """``text`` with each mark (start, stop, label; sorted by start) replaced
     by its label; overlapping marks are covered once, by the first label."""
 
-    def step(acc, m):
-        fresh = F.array(F.substring(text, acc["at"] + 1, m["start"] - acc["at"]), m["label"])
-        return F.struct(F.greatest(acc["at"], m["stop"]).alias("at"),
-                        F.when(m["start"] >= acc["at"], F.concat(acc["out"], fresh)).otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    rest = lambda acc: F.array_join(F.concat(acc["out"], F.array(
-        F.substring(text, acc["at"] + 1, F.length(text)))), "")
-    return F.when(F.size(marks) > 0, F.aggregate(marks, start, step, rest)).otherwise(text)
+    def run(pieces):
+        ends = F.transform(pieces, lambda p: F.array_max(F.transform(p, lambda m: m["stop"])))
+        state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        # a piece begins where the marks before it end, and is cut out of the text once
+        begins = F.aggregate(ends, state, lambda a, n: F.struct(
+            F.greatest(a["at"], n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        done = F.zip_with(pieces, begins, lambda p, begin: _let(
+            F.substring(text, begin + 1, F.greatest(F.lit(0), F.array_max(F.transform(p, lambda m: m["stop"])) - begin)),
+            lambda own: F.aggregate(p, F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out")), lambda acc, m: F.struct(
+                F.greatest(acc["at"], m["stop"]).alias("at"),
+                F.when(m["start"] >= acc["at"], F.concat(acc["out"], F.array(
+                    F.substring(own, acc["at"] - begin + 1, m["start"] - acc["at"]), m["label"]))).otherwise(acc["out"]).alias("out")),
+                lambda acc: F.array_join(acc["out"], ""))))
+        return F.concat(F.array_join(done, ""), F.substring(text, F.array_max(ends) + 1, F.length(text)))
+
+    return F.when(F.size(marks) > 0, _let(marks, lambda it: _let(_pieces(it), run))).otherwise(text)
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
