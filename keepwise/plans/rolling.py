@@ -14,6 +14,7 @@ from ..operators import features as FT
 from ..operators import reports as R
 from ..operators import rolling as RW
 from ..operators import scores as S
+from ..sources import checked as CK
 from ..sources import fixtures as fx
 from ..sources import latest as L
 from ..sources import layout
@@ -178,3 +179,42 @@ def stream_daily_once(spark, d):
     return TB.read_predictions(spark, f"{base}/out").join(want, "prediction_id", "left").select(
         "customer_id", "prediction_id", "prediction_date", "model_version",
         F.coalesce(F.struct("churn_probability", "risk_tier") == F.col("want"), F.lit(False)).alias("equals_batch"))
+
+
+_BATCH_SQL = f"""batch AS (
+    SELECT customer_id, customer_id AS named, 0 AS copy FROM customers
+    UNION ALL SELECT customer_id + 1000000000, customer_id + 1000000000, 0 FROM customers WHERE customer_id % 7 = 0
+    UNION ALL SELECT NULL, -customer_id, 0 FROM customers WHERE customer_id % 11 = 0
+    UNION ALL SELECT customer_id, customer_id, 1 FROM customers WHERE customer_id % 13 = 0)"""
+
+
+@register("checked_append", with_tables("customers", extra=[_BATCH_SQL]) + """SELECT run, customer_id,
+    md5(CAST(named AS VARCHAR)) AS prediction_id, copy, reason FROM (
+        SELECT 'all' AS run, *, CASE WHEN customer_id IS NULL THEN 'no customer' WHEN customer_id >= 1000000000 THEN 'unknown customer'
+            WHEN customer_id % 2 = 0 THEN 'stored before' WHEN copy = 1 THEN 'repeated id' END AS reason FROM batch
+        UNION ALL
+        SELECT 'even', *, CASE WHEN customer_id >= 1000000000 THEN 'unknown customer' WHEN copy = 1 THEN 'repeated id' END
+        FROM batch WHERE customer_id % 2 = 0) checked""")
+def checked_append(spark, d):
+    """Two runs with unknown and missing customers and repeated ids; the second
+    also names what the first has stored. Stored and refused rows together."""
+    base = TB.scratch_path(spark, "checked")
+    customers = fx.customers(spark, d)
+    c = F.col("customer_id")
+
+    def rows(keep, named, who=c, copy=0):
+        return customers.where(keep).select(
+            F.md5(named.cast("string")).alias("prediction_id"), who.cast("long").alias("customer_id"),
+            F.lit(AS_OF_O.date()).alias("prediction_date"), F.lit(0.5).cast("decimal(5,4)").alias("churn_probability"),
+            F.lit("Medium Risk").alias("risk_tier"), F.lit("v1.0").alias("model_version"),
+            F.lit(AS_OF_O + dt.timedelta(minutes=copy)).cast("timestamp_ntz").alias("created_at"))
+
+    far = 1_000_000_000
+    batch = ML.materialised(rows(F.lit(True), c).unionByName(rows(c % 7 == 0, c + far, c + far)).unionByName(
+        rows(c % 11 == 0, -c, F.lit(None))).unionByName(rows(c % 13 == 0, c, copy=1)), "batch")
+    for run, part in (("even", batch.where(c % 2 == 0)), ("all", batch)):
+        CK.append_checked(spark, part, customers, f"{base}/store", f"{base}/refused", run)
+    seen = L.read_runs(spark, f"{base}/store").withColumn("reason", F.lit(None).cast("string")).unionByName(
+        CK.read_quarantine(spark, f"{base}/refused"))
+    return seen.select(F.col("run_id").alias("run"), "customer_id", "prediction_id",
+                       (F.col("created_at") > F.lit(AS_OF_O)).cast("int").alias("copy"), "reason")
