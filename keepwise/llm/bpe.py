@@ -105,7 +105,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, keep_ids: bool = False,
     ``keep_ids`` also ids and decoded.
 
     A null text is an empty one: no ids, the digests of the empty string. Null
-    doc_ids and repeated rows stay as they are. An empty table gives none."""
+    doc_ids and repeated rows stay as they are. Texts of any length are encoded
+    whole; other columns, whatever their names, are not read. An empty table
+    gives none."""
     spark = docs.sparkSession
     ready_workers(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

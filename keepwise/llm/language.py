@@ -184,7 +184,8 @@ def predict(docs: DataFrame, model: LanguageModel, keep=("doc_id",), text: str =
 def identify(docs: DataFrame, label: str = "lang") -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score. The model is learned
     from rows that are not held out; label, source and doc_id never reach a
-    prediction. Repeated rows stay repeated; an empty table gives none."""
+    prediction. Repeated rows stay repeated; texts of any length are read whole;
+    other columns are not read; an empty table gives none."""
     model = fit(docs, label)
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 

@@ -166,5 +166,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, ca
 
     A null text is an empty one: a single piece holding only ``end_id``. Null
     doc_ids and repeated rows are packed like any others (each row is its own
-    document). An empty table gives an empty result."""
+    document). A long text only makes more pieces; of equally good places any may
+    be taken; other columns are not read. An empty table gives an empty result."""
     return pack(pieces(docs, tokenizer, ranks, capacity, end_id), capacity, group_pieces)

@@ -253,7 +253,9 @@ def find(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
 def personal_data(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans
     (all spans: the base kinds as listed, then ``term``). A null text is an
-    empty one, without spans. Repeated rows stay repeated."""
+    empty one, without spans. Repeated rows stay repeated; texts of any length
+    are read whole; spans of equal start stand by kind; other columns are not
+    read; an empty table gives none."""
     found = find(docs)
     per_kind = [F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS]
     terms = F.array_distinct(F.transform("terms", lambda t: F.struct(F.lit(TERM).alias("kind"), t["start"], t["stop"])))

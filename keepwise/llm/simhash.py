@@ -147,8 +147,9 @@ def _rooted(heads: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
-    Null and wordless texts have fingerprint zero, linked like any other; an
-    empty table gives an empty result."""
+    Null and wordless texts have fingerprint zero, linked like any other.
+    Repeated rows stay repeated; texts of any length are read whole, in pieces;
+    other columns are not read; an empty table gives an empty result."""
     out = components(fingerprints(docs))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 

@@ -192,7 +192,9 @@ def predict(docs: DataFrame, model: OrdinalModel | None, keep=("doc_id",), text:
 
 def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: doc_id, severity, grade (severity rounded half up, 0 to
-    2), toxic (severity >= REJECT_SEVERITY). Repeated rows stay repeated."""
+    2), toxic (severity >= REJECT_SEVERITY). A null text is an empty one. Repeated
+    rows stay repeated; texts of any length are read whole; other columns are not
+    read; an empty table gives none."""
     out = predict(docs, fit(docs, labels))
     return out.select("doc_id", "severity", F.floor(F.col("severity") + 0.5).alias("grade"),
                       (F.col("severity") >= REJECT_SEVERITY).alias("toxic"))

@@ -65,9 +65,9 @@ def _deflate(s: np.ndarray, u: np.ndarray, z: np.ndarray, rho: float):
     part in the update."""
     tol = 8 * _EPS * max(abs(s[-1]), abs(s[0]), rho * float(z @ z))
     size = np.sqrt(rho) * float(np.linalg.norm(z))
-    active = list(np.flatnonzero(np.sqrt(rho) * np.abs(z) * size > tol))
-    close = [i for i in range(1, len(active)) if s[active[i]] - s[active[i - 1]] <= 64 * tol]
-    if close:
+    active = np.flatnonzero(np.sqrt(rho) * np.abs(z) * size > tol)
+    if (np.diff(s[active]) <= 64 * tol).any():
+        active = active.tolist()
         kept = active[:1]
         for i in active[1:]:
             j = kept[-1]
@@ -102,46 +102,55 @@ def secular_roots(s: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     last[-1] = True
     low = np.where(left, 0.0, -gap / 2)
     high = np.where(last, gap, np.where(left, gap / 2, 0.0))
-    x = (low + high) / 2
     below = np.tri(m)
     above = 1 - below
     near, far = np.arange(m), np.minimum(np.arange(m) + 1, m - 1)
-    rows = np.arange(m)
-    pole_a, pole_b = delta[rows, near], delta[rows, far]
+    pole_a, pole_b = delta[near, near], delta[near, far]
+    # start: the two nearest poles as they are, the others as the constant they add in the middle
+    half_a, half_b = -gap / 2, np.where(last, np.inf, gap / 2)
+    w_b = np.where(last, 0.0, w[far])
+    rest = middle - w / half_a - w_b / half_b
+    p, q = rest * (pole_a + pole_b) + w + w_b, rest * pole_a * pole_b + w * pole_b + w_b * pole_a
+    with np.errstate(divide="ignore", invalid="ignore"):
+        root = np.sqrt(np.maximum(p * p - 4 * rest * q, 0))
+        x = np.where(p > 0, 2 * q / (p + root), (p - root) / (2 * rest))
+        x = np.where(last, pole_a + w / rest, x)
+    x = np.where(np.isfinite(x) & (x > low) & (x < high), x, (low + high) / 2)
+    act = np.arange(m)
     for _ in range(100):
-        d = delta - x[:, None]
+        now, lo, hi, end = x[act], low[act], high[act], last[act]
+        d = delta[act] - now[:, None]
         with np.errstate(divide="ignore", invalid="ignore"):
             term = w / d
             slope = term / d
-        psi, phi = np.einsum("ij,ij->i", term, below), np.einsum("ij,ij->i", term, above)
+        psi, phi = np.einsum("ij,ij->i", term, below[act]), np.einsum("ij,ij->i", term, above[act])
         f = 1 + psi + phi
-        bad = ~np.isfinite(f)
-        done = np.abs(f) <= 16 * _EPS * (1 + np.abs(psi) + np.abs(phi))
-        high = np.where(~bad & (f > 0), np.minimum(high, x), high)
-        low = np.where(~bad & (f < 0), np.maximum(low, x), low)
-        if (done | (high - low <= 2 * _EPS * np.maximum(np.abs(low), np.abs(high)))).all():
+        hi = np.where(f > 0, np.minimum(hi, now), hi)
+        lo = np.where(f < 0, np.maximum(lo, now), lo)
+        done = (np.abs(f) <= 16 * _EPS * (1 + np.abs(psi) + np.abs(phi))) | (hi - lo <= 2 * _EPS * np.maximum(np.abs(lo), np.abs(hi)))
+        if done.all():
             break
         # rational interpolation: each side as one pole matching value and slope
-        psi1, phi1 = np.einsum("ij,ij->i", slope, below), np.einsum("ij,ij->i", slope, above)
-        da, db = pole_a - x, pole_b - x
+        psi1, phi1 = np.einsum("ij,ij->i", slope, below[act]), np.einsum("ij,ij->i", slope, above[act])
+        da, db = pole_a[act] - now, pole_b[act] - now
         a = f - da * psi1 - db * phi1
         pa_, pb_ = da * da * psi1, db * db * phi1
-        # a + pa/(da - h) + pb/(db - h) = 0 for the step h
-        p = a * (da + db) + pa_ + pb_
-        q = f * da * db
+        # a + pa / (da - h) + pb / (db - h) = 0 for the step h
+        p, q = a * (da + db) + pa_ + pb_, f * da * db
         with np.errstate(divide="ignore", invalid="ignore"):
             root = np.sqrt(np.maximum(p * p - 4 * a * q, 0))
             h = np.where(p > 0, 2 * q / (p + root), (p - root) / (2 * a))
-            single = da + pa_ / np.where(f - da * psi1 == 0, np.nan, f - da * psi1)
-        h = np.where(last, single, h)
-        trial = x + h
-        inside = np.isfinite(trial) & (trial > low) & (trial < high)
-        # roots next to a pole: halve on a logarithmic scale where the bracket spans many sizes
-        a_, b_ = np.minimum(np.abs(low), np.abs(high)), np.maximum(np.abs(low), np.abs(high))
-        sign = np.where(low + high >= 0, 1.0, -1.0)
-        wide = (a_ > 0) & (b_ > 4 * a_)
-        half = np.where(wide, sign * np.sqrt(np.where(wide, a_ * b_, 0)), (low + high) / 2)
-        x = np.where(done, x, np.where(inside, trial, half))
+            h = np.where(end, da + pa_ / (f - da * psi1), h)
+        trial = now + h
+        inside = (trial > lo) & (trial < hi)
+        if not inside.all():
+            # next to a pole: halve on a logarithmic scale where the bracket spans many sizes
+            a_, b_ = np.minimum(np.abs(lo), np.abs(hi)), np.maximum(np.abs(lo), np.abs(hi))
+            wide = (a_ > 0) & (b_ > 4 * a_)
+            half = np.where(wide, np.where(lo + hi >= 0, 1.0, -1.0) * np.sqrt(np.where(wide, a_ * b_, 0)), (lo + hi) / 2)
+            trial = np.where(inside, trial, half)
+        x[act], low[act], high[act] = np.where(done, now, trial), lo, hi
+        act = act[~done]
     return origin, x
 
 

@@ -412,7 +412,9 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars (code points). Null html is empty
     and gives an empty text; a null or hostless url belongs to the host "".
-    Repeated rows stay repeated; an empty table gives none."""
+    Repeated rows stay repeated; other columns are not read; pages are aligned
+    whole, in time that grows with the product of their blocks; an empty table
+    gives none."""
     host = F.coalesce(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*+://(?:[^/?#@]*+@)?([^/:?#]++)", 1), F.lit(""))
     own = pages.select("page_id", "url", "html", host.alias("host"))
 
