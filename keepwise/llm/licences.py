@@ -97,7 +97,7 @@ OTHERS = [
     "The film is in the public domain.", "Licensed under a commercial license.",
     "Released under a proprietary license.", "This document is licensed under its own terms.",
 ]
-#: A paragraph without any of these cannot hold enough of a notice to be confirmed.
+#: Corpus lines with any of these are not taken for lines of no family in training.
 ANCHORS = ("licen", "gnu", "permission", "redistribut", "public domain", "waived", "cc0", "cc by", "redistribution",
            "warrant", "mozilla", "unencumbered", "attribution", "universal")
 NONE, UNKNOWN = "none", "unknown"
@@ -105,6 +105,8 @@ NONE, UNKNOWN = "none", "unknown"
 SAMPLE_LINES = 2000
 MISTAKES = 0.01
 MIN_OVERLAP = 0.6
+#: Parts that the rows of one text fall into when results come back to them.
+COPY_PARTS = 32
 FAMILIES = [NONE, *sorted(NOTICES)]
 
 
@@ -118,13 +120,28 @@ def tokens(text: Column) -> Column:
 
 
 def grams(words: Column, n: int) -> Column:
-    """Distinct word n-grams."""
-    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0))), lambda i: i + n <= F.size(words))
-    return F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(words, i + 1, F.lit(n)), " ")))
+    """Word n-grams, repeats included."""
+    many = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    out = F.slice(words, F.lit(1), many)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(words, F.lit(k + 1), many), lambda a, b: F.concat(a, F.lit(" "), b))
+    return out
 
 
 def features(words: Column) -> Column:
-    return F.concat(*[grams(words, n) for n in (1, 2, 3)])
+    """Word 1- to 3-grams without those that hold a null."""
+    return F.array_compact(F.concat(*[grams(words, n) for n in (1, 2, 3)]))
+
+
+def known_words(text: Column) -> Column:
+    """The words in order; null for one that no sentence above holds, so neither does any n-gram with it."""
+    known = sorted({w for ts in (*NOTICES.values(), OTHERS) for t in ts for w in re.findall(_WORD, t.lower())})
+    return F.transform(tokens(text), lambda w: F.when(w.isin(known), w))
+
+
+def _with_words(paragraphs: DataFrame) -> DataFrame:
+    """``paragraphs`` with the known words of every line and of the whole."""
+    return paragraphs.withColumn("lines", F.transform(F.split("line", "\n"), known_words)).withColumn("words", F.flatten("lines"))
 
 
 def gated(text: Column) -> Column:
@@ -167,7 +184,7 @@ def fit(docs: DataFrame, sample_lines: int = SAMPLE_LINES) -> LicenceModel:
     rows = varied.unionByName(lines.withColumn("at", F.lit(0))).withColumn("grams", features(F.col("words")))
     vocabulary = sorted(r["g"] for r in notices.unionByName(others).select(F.explode(features(F.col("words"))).alias("g"))
                         .distinct().collect())  # as large as the notices above
-    vectorizer = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", minTF=1.0)
+    vectorizer = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", minTF=1.0).setBinary(True)
     label = F.element_at(F.create_map(*[F.lit(x) for i, f in enumerate(FAMILIES) for x in (f, float(i))]), F.col("family"))
     # sentences count the same however many words they can lose
     weight = F.when(F.col("at") < 0, 5.0).otherwise(1.0)
@@ -182,12 +199,21 @@ def fit(docs: DataFrame, sample_lines: int = SAMPLE_LINES) -> LicenceModel:
     return LicenceModel(vectorizer, regression, max(0.5, edge or 0.0))
 
 
+def _three(words: list[str]) -> list[str]:
+    return list(dict.fromkeys(" ".join(words[i : i + 3]) for i in range(len(words) - 2)))
+
+
+def _notice_grams() -> list[str]:
+    """Every word 3-gram of a notice."""
+    return sorted({g for texts in NOTICES.values() for t in texts for g in _three(re.findall(_WORD, t.lower()))})
+
+
 def _notices() -> Column:
     """All notices (family, text, grams): a fixed list, carried as a literal."""
     made = []
     for family, texts in sorted(NOTICES.items()):
         for words in (re.findall(_WORD, t.lower()) for t in texts):
-            three = dict.fromkeys(" ".join(words[i : i + 3]) for i in range(len(words) - 2))
+            three = _three(words)
             made.append(F.struct(F.lit(family).alias("family"), F.lit(f" {' '.join(words)} ").alias("text"),
                                  F.array(*map(F.lit, three)).alias("grams")))
     return F.array(*made)
@@ -201,20 +227,28 @@ def _short_forms(text: Column) -> Column:
     spdx = F.transform(tokens(F.array_join(named, " ")), lambda w: F.element_at(known, w))
     lines = F.concat(F.lit("|"), F.array_join(F.transform(F.split(text, "\n"), lambda x: F.array_join(tokens(x), " ")), "|"), F.lit("|"))
     titles = F.array(*[F.when(lines.rlike(r), F.lit(f)) for f, r in sorted(TITLES.items())])
-    return F.array_compact(F.concat(spdx, titles))
+    # every title and identifier line holds one of these
+    may = F.lit(False)
+    for part in ("license", "cc0", "attribution"):
+        may = may | F.contains(F.lower(text), F.lit(part))
+    return F.when(may, F.array_compact(F.concat(spdx, titles))).otherwise(F.array().cast("array<string>"))
 
 
 def confirmed(paragraphs: DataFrame) -> DataFrame:
     """The rows (with a column ``line``) with families (all confirmed ones) and
     overlap (of the best matching notice)."""
-    rows = paragraphs.withColumn("words", tokens(F.col("line"))).withColumn("notices", _notices())
-    mine = F.array_intersect(F.array_distinct(F.flatten(F.transform("notices", lambda n: n["grams"]))), grams(F.col("words"), 3))
-    rows = rows.withColumn("mine", mine).withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
+    return _confirmed(_with_words(paragraphs), paragraphs.columns)
+
+
+def _confirmed(paragraphs: DataFrame, names: list[str]) -> DataFrame:
+    rows = paragraphs.withColumn("notices", _notices())
+    rows = rows.withColumn("mine", F.filter(grams(F.col("words"), 3), lambda g: g.isin(_notice_grams()))).withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " ", "?"), F.lit(" ")))
     share = F.transform("notices", lambda n: F.struct(
         F.contains(F.col("joined"), n["text"]).alias("whole"),
         (F.size(F.array_intersect(n["grams"], F.col("mine"))) / F.size(n["grams"])).alias("overlap"),
         F.size(n["grams"]).alias("size"), n["family"].alias("family"), n["grams"].alias("grams")))
-    rows = rows.withColumn("share", F.sort_array(F.filter(share, lambda h: h["overlap"] > 0), asc=False))
+    # null where no notice has a 3-gram of the paragraph
+    rows = rows.withColumn("share", F.when(F.size("mine") > 0, F.sort_array(F.filter(share, lambda h: h["overlap"] > 0), asc=False)))
 
     def step(acc, h):
         own = F.array_except(h["grams"], acc["used"])
@@ -225,25 +259,27 @@ def confirmed(paragraphs: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     found = F.aggregate(F.filter("share", lambda h: h["overlap"] >= MIN_OVERLAP),
                         F.struct(none.alias("families"), none.alias("used")), step, lambda acc: acc["families"])
-    return rows.select(*paragraphs.columns, F.array_sort(F.array_distinct(F.concat(found, _short_forms(F.col("line"))))).alias("families"),
+    return rows.select(*names, F.array_sort(F.array_distinct(F.concat(F.coalesce(found, none), _short_forms(F.col("line"))))).alias("families"),
                        F.coalesce(F.array_max(F.transform("share", lambda h: h["overlap"])), F.lit(0.0)).alias("overlap"))
 
 
-def classify(paragraphs: DataFrame, model: LicenceModel) -> DataFrame:
+def classify(paragraphs: DataFrame, model: LicenceModel, keep: list[str] | None = None) -> DataFrame:
     """The rows (with a column ``line``, a paragraph) that read as a licence, one
     for each confirmed family or one ``unknown``, with family, probability (the
-    highest of the paragraph and its lines) and overlap."""
-    names = paragraphs.columns
-    rows = confirmed(paragraphs.withColumn("line", F.coalesce("line", F.lit(""))))
-    # equal paragraphs are scored once
-    units = rows.select("line").distinct().select("line", F.explode(F.array_distinct(F.concat(
-        F.array("line"), F.filter(F.split("line", "\n"), gated)))).alias("unit"))
-    # as a column: a call inside the n-grams' lambdas would read the text again for every word
-    read = units.withColumn("words", tokens(F.col("unit"))).withColumn("grams", features(F.col("words")))
-    scored = model.regression.transform(model.vectorizer.transform(read))
+    highest of the paragraph and its lines) and overlap. ``keep`` names the
+    columns to return (default: all); those left out are not exchanged."""
+    names = keep or paragraphs.columns
+    words = _with_words(paragraphs.withColumn("line", F.coalesce("line", F.lit(""))))
+    rows = _confirmed(words, [*dict.fromkeys([*names, "lines", "words"])])
+    each = F.when(F.size("lines") > 1, F.concat(F.array("words"), F.col("lines"))).otherwise(F.array("words"))
+    units = rows.select(*names, "families", "overlap", F.posexplode(each).alias("place", "unit"))
+    scored = model.regression.transform(model.vectorizer.transform(units.withColumn("grams", features(F.col("unit")))))
     best = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES) - 1))
-    scored = scored.groupBy("line").agg(F.max(best).alias("probability"))
-    rows = rows.join(scored, "line").where((F.size("families") > 0) | (F.col("probability") >= model.threshold))
+    # equal rows are counted by their whole paragraph
+    rows = scored.groupBy(*names, "families", "overlap").agg(
+        F.max(best).alias("probability"), F.count_if(F.col("place") == 0).alias("copies"))
+    rows = rows.where((F.size("families") > 0) | (F.col("probability") >= model.threshold))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return rows.select(*names, F.explode(F.when(F.size("families") > 0, F.col("families")).otherwise(
         F.array(F.lit(UNKNOWN)))).alias("family"), "probability", "overlap")
 
@@ -252,21 +288,23 @@ def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, families (distinct confirmed ones, ascending,
     comma-joined; empty if none), n_paragraphs (with a confirmed family), n_unknown.
 
-    Null and empty texts have none; repeated rows stay repeated; equal texts
-    are read once. Every text is scanned whole, only paragraphs with a word
-    that notices need reach the classifier. An empty table gives none."""
-    some = gated(F.col("text"))
-    marked = materialise(docs.select("doc_id", F.when(some, F.col("text")).alias("text"),
-                                     F.when(some, F.sha2("text", 256)).alias("digest")), "licence-texts")
+    Null and empty texts have none; repeated rows stay repeated. Every paragraph
+    and line of every text is read by the classifier. An empty table gives none."""
+    texts = docs.select("doc_id", "text", F.sha2("text", 256).alias("digest"))
     model = fit(docs)
-    texts = marked.where("digest is not null").dropDuplicates(["digest"])
-    lines = texts.select("digest", F.posexplode(F.split("text", BORDER)).alias("at", "line")).where(gated(F.col("line")))
-    found = classify(lines, model).groupBy("digest").agg(
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("family") != UNKNOWN, F.col("family")))), ",").alias("families"),
-        F.count_distinct(F.when(F.col("family") != UNKNOWN, F.col("at"))).alias("n_paragraphs"), F.count_if(F.col("family") == UNKNOWN).alias("n_unknown"))
+    lines = texts.where("digest is not null").select("digest", F.posexplode(F.split("text", BORDER)).alias("at", "line"))
+    known = F.col("family") != UNKNOWN
+    # repeated texts are one group
+    found = classify(lines, model, ["digest", "at"]).groupBy("digest").agg(
+        F.array_join(F.array_sort(F.collect_set(F.when(known, F.col("family")))), ",").alias("families"),
+        F.count_distinct(F.when(known, F.col("at"))).alias("n_paragraphs"),
+        F.count_distinct(F.when(~known, F.col("at"))).alias("n_unknown"))
+    # copies of a text are spread over the tasks by their id
+    found = found.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(COPY_PARTS - 1))))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(COPY_PARTS)).cast("int")
     zero = F.lit(0).cast("long")
-    with_text = marked.where("digest is not null").join(found, "digest", "left").select(
+    with_text = texts.where("digest is not null").select("doc_id", "digest", part.alias("part")).join(found, ["digest", "part"], "left").select(
         "doc_id", F.coalesce("families", F.lit("")).alias("families"), F.coalesce("n_paragraphs", zero).alias("n_paragraphs"),
         F.coalesce("n_unknown", zero).alias("n_unknown"))
-    return with_text.unionByName(marked.where("digest is null").select(
+    return with_text.unionByName(texts.where("digest is null").select(
         "doc_id", F.lit("").alias("families"), zero.alias("n_paragraphs"), zero.alias("n_unknown")))

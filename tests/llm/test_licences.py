@@ -87,3 +87,18 @@ def test_wrapped_short_and_several_notices(spark, corpus):
     got = {r.doc_id: r for r in licences.scan(docs.unionByName(corpus[0].withColumn("doc_id", corpus[0].doc_id + 1000))).collect()}
     assert {t: got[i].families for i, t in enumerate(cases)} == cases
     assert got[len(cases) - 1].n_paragraphs == 2 and got[8].n_paragraphs == 1
+
+
+def test_paragraphs_without_anchor_words_are_read(spark):
+    notice = ("hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+              "files, to deal in the Software without restriction.")
+    rows = [(1, f"A house by the river.\n\n{notice}"), (1, f"A house by the river.\n\n{notice}"), (2, "A house by the river."), (3, None)]
+    assert not any(a in notice.lower() for a in licences.ANCHORS)
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.families, r.n_paragraphs) for r in got) == [(1, "MIT", 1), (1, "MIT", 1), (2, "", 0), (3, "", 0)]
+
+
+def test_equal_paragraphs_stay_rows_of_their_own(spark, corpus):
+    model = licences.fit(corpus[0])
+    df = spark.createDataFrame([(1, "Released under the MIT License.\nfree")] * 3, "n long, line string")
+    assert [r.family for r in licences.classify(df, model).collect()] == ["MIT"] * 3
