@@ -36,6 +36,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that grows with the documents: never a
+    broadcast. Spark takes an exploded table for as small as its source, and a
+    written one for as small as its compressed files, so that what it holds
+    below the broadcast threshold may be many times the driver's memory."""
+    return df.hint("merge")
+
+
 def ready_workers(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for long texts, and let Python workers
     import this package from where the driver did (a shared or local install;

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import annotate, col, materialise
+from .common import annotate, col, materialise, shuffled
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
@@ -93,7 +93,8 @@ def near_pairs(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     a = cells.select(F.col("cell"), F.col("fp").alias("u"))
     b = cells.select(F.col("cell").alias("cell_b"), F.col("fp").alias("v"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance
-    pairs = a.join(b, (F.col("cell") == F.col("cell_b")) & (F.col("u") < F.col("v")) & near)
+    # Spark sizes the exploded cells as their fingerprints, up to 33 times too low
+    pairs = a.join(shuffled(b), (F.col("cell") == F.col("cell_b")) & (F.col("u") < F.col("v")) & near)
     return pairs.select("u", "v").distinct()
 
 
@@ -111,10 +112,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = (both.join(low, F.col("u") == F.col("k")).where("v > u")
+        large = (both.join(shuffled(low), F.col("u") == F.col("k")).where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct())
         low2 = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        small = large.join(low2, F.col("u") == F.col("k"))
+        small = large.join(shuffled(low2), F.col("u") == F.col("k"))
         e = materialise(small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                        F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
                         .select("x.u", "x.v").where("u > v").distinct(), "edges")
@@ -134,15 +135,15 @@ def components(marked: DataFrame) -> DataFrame:
     marked = materialise(marked.select("doc_id", "fp"), "fp")
     rooted = _rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(named, "root").select("fp", "component_id")
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = rooted.join(shuffled(named), "root").select("fp", "component_id")
+    return marked.join(shuffled(labels), "fp").select("doc_id", "fp", "component_id")
 
 
 def _rooted(heads: DataFrame) -> DataFrame:
     """``heads`` (one row per fingerprint ``fp``) with ``root``, the same for all linked fingerprints."""
     heads = materialise(heads, "heads")
     roots = connected_components(near_pairs(heads.select("fp")))
-    return heads.join(roots, heads.fp == roots.node, "left").select(*heads.columns, F.coalesce("root", "fp").alias("root"))
+    return heads.join(shuffled(roots), heads.fp == roots.node, "left").select(*heads.columns, F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -165,8 +166,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     marked = materialise(marked.where("doc_id is not null"), "fp")
     rooted = _rooted(marked.groupBy("fp").agg(F.min(F.struct("doc_id", "fp", "t")).alias("head")))
     heads = materialise(rooted.groupBy("root").agg(F.min("head").alias("h")).select("h.doc_id", "h.t"), "kept")
-    # the kept keys grow with the documents: never a broadcast
-    named = heads.select(F.col("doc_id").alias("keepwise_keep_id"), F.col("t").alias("keepwise_keep_t")).hint("merge")
+    named = shuffled(heads.select(F.col("doc_id").alias("keepwise_keep_id"), F.col("t").alias("keepwise_keep_t")))
     # repeated rows are reduced before the shuffle, whose partitioning the join then uses
     repeats = Window.partitionBy(col("doc_id"), F.col("keepwise_t")).orderBy(F.xxhash64(*map(col, docs.columns)))
     first = (docs.where(col("doc_id").isNotNull()).withColumn("keepwise_t", of_text)

@@ -112,3 +112,14 @@ def test_keep_one_loses_no_unlike_text_of_a_repeated_id(spark):
     rows = [(5, a, 1), (5, b, 2), (6, a, 1)]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, t long"))
     assert sorted(map(tuple, kept.collect())) == [(5, a, 1), (5, b, 2)]
+
+
+def test_no_join_of_fingerprints_is_a_broadcast(spark):
+    """Cells are 33 times their fingerprints, which Spark does not see: a small estimate must not make them a broadcast."""
+    docs = spark.createDataFrame([(i, f"text number {i // 2} of many") for i in range(20)], "doc_id long, text string")
+    fps = spark.createDataFrame([(i,) for i in range(20)], "fp long")
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "u long, v long")
+    for made in (simhash.near_pairs(fps), simhash.components(fps.select(fps.fp.alias("doc_id"), "fp")), simhash.keep_one(docs)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(map(tuple, simhash.connected_components(edges).collect())) == [(1, 1), (2, 1), (3, 1)]
