@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, materialise
+from .common import col, materialise, shuffled
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -39,6 +39,8 @@ CHANCE = 0.01
 MIN_TERM_LETTERS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
+#: Terms found, over all texts (some 60 bytes each), up to which their table may be a broadcast.
+BROADCAST_HITS = 200_000
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 #: The stated patterns. A match can begin only where its first run begins or where the previous match ended,
@@ -199,7 +201,7 @@ def revealing_terms(docs: DataFrame, entity_texts: DataFrame, beside: DataFrame)
                         "joint")
     within = entity_texts.select("copies", F.explode(F.array_except(
         _terms(F.col("text")), _terms(_outside(F.col("text"), F.col("spans"))))).alias("term"))
-    counts = (joint.join(term_counts(docs), "term")
+    counts = (shuffled(joint).join(term_counts(docs), "term")
               .join(within.groupBy("term").agg(F.sum("copies").alias("n_within")), "term", "left")
               .withColumn("n_term", F.col("n_term") - F.coalesce("n_within", F.lit(0))))
     n = F.lit(float(total))
@@ -242,6 +244,9 @@ def find(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
                                                   F.explode(_terms(F.col("text"))).alias("term"))
     hits = materialise(words.join(terms, "term").groupBy("key").agg(
         F.collect_set(F.struct("term", "kind", "disclosure")).alias("hits")), "hits")
+    # lists of alike terms are many times their files: their true number decides whether they may be a broadcast
+    if (hits.agg(F.sum(F.size("hits"))).first()[0] or 0) > BROADCAST_HITS:
+        hits = shuffled(hits)
     text = F.coalesce(F.col("text"), F.col("row.text")) if "text" in keep else F.col("text")
     shape = "array<struct<start:int,stop:int,kind:string,disclosure:double>>"
     empty = F.array().cast(shape)

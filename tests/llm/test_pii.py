@@ -145,3 +145,19 @@ def test_texts_with_very_many_entities(spark):
         assert len(spans) == n and all(text(n)[s.start : s.stop] == s.found for s in spans[:: n // 100])
         assert masked == "".join(f"word{i} [E], " for i in range(n))
     assert took[32_000] < 30 * max(took[4_000], 0.5)
+
+
+def test_many_hits_are_no_broadcast(spark, monkeypatch):
+    """The terms found in texts grow with the documents: beyond a bound on their number, however small their file, they are not sent to every executor."""
+    rows = [(i, f"keeper tower plain{i}") if i % 2 else (i, f"mail a{i}@b.org to the tower keeper {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def found():
+        made = pii.find(docs)
+        return made._jdf.queryExecution().executedPlan().toString(), sorted(map(str, made.collect()))
+
+    _, want = found()
+    assert any("disclosure=" in r for r in want)
+    monkeypatch.setattr(pii, "BROADCAST_HITS", 0)
+    plan, got = found()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and got == want
