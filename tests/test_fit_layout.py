@@ -5,10 +5,13 @@ from __future__ import annotations
 import pytest
 from keepwise import config as C
 from keepwise.ml import train as ML
+from keepwise.plans import analytics as A
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from .conftest import SF_SMALL
+
 
 def _rows(spark, n=400):
     return spark.range(n).selectExpr("id AS customer_id", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 11 AS DOUBLE) AS b",
@@ -61,3 +64,11 @@ def test_a_class_of_one_row_leaves_folds_without_rows(spark):
     rows = _rows(spark, 3).withColumn("churned", F.lit(1))
     with pytest.raises(ValueError, match="fold"):
         ML.cross_validate(rows, C.ForestParams(num_trees=2, max_depth=2), folds=5)
+
+
+def test_save_and_load_builds_the_features_once(spark, monkeypatch):
+    built, merged, fewer = [], A._merged, C.ForestParams(num_trees=2, max_depth=2)
+    monkeypatch.setattr(A, "_merged", lambda *x: built.append(1) or merged(*x))
+    monkeypatch.setattr(ML.train, "__defaults__", (fewer, *ML.train.__defaults__[1:]))
+    rows = A.model_save_load(spark, SF_SMALL).collect()
+    assert len(built) == 1 and rows and all(r.same and r.metrics_kept for r in rows)
